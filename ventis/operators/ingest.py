@@ -63,20 +63,21 @@ def ingest_batch(batch: DataFrame, stations: DataFrame, store: DataFrame,
     of an earlier accepted row. An invalid earlier row does not block a later valid one.
     ``index`` must be unique; losers are found by it, so a hot key never meets in one task.
     """
-    checked = _field_errors(batch)
-    well_formed = checked.filter(F.col("motivo") == "").drop("motivo")
-    malformed = checked.filter(F.col("motivo") != "").select(index, "motivo")
-
-    known = stations.select("id_estacion")
-    candidates = well_formed.join(known, "id_estacion", "left_semi")
-    strangers = orphan_rows(well_formed, stations).select(index, "motivo")
-
+    known = stations.select("id_estacion").distinct().withColumn("_conocida", F.lit(True))
+    checked = _field_errors(batch).join(known, "id_estacion", "left").withColumn(
+        "motivo",
+        F.coalesce(
+            F.nullif(F.col("motivo"), F.lit("")),
+            F.when(F.col("_conocida").isNull(), _unknown_station()),
+        ),
+    ).drop("_conocida")
+    candidates = checked.filter(F.col("motivo").isNull())
     winners = first_per_key(candidates, ["id_estacion", "fecha_hora"], [F.col(index).asc()])
-    accepted = new_measurements(winners, store).select(index, *INGEST_COLUMNS)
-    repeated = candidates.join(accepted.select(index), index, "left_anti").select(
-        index, F.lit(DUPLICATE_REASON).alias("motivo")
+    accepted = new_measurements(winners, store, range_of=batch).select(index, *INGEST_COLUMNS)
+    rejected = checked.join(accepted.select(index), index, "left_anti").select(
+        index, F.coalesce("motivo", F.lit(DUPLICATE_REASON)).alias("motivo")
     )
-    return accepted, malformed.unionByName(strangers).unionByName(repeated)
+    return accepted, rejected
 
 
 def ingest_summary(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
@@ -110,8 +111,8 @@ def prepare_load(valid: DataFrame, stations: DataFrame, mapping: DataFrame,
     ready, omitted = split_load(resolve_for_load(valid, stations, mapping))
     if store is None:
         return ready, omitted
-    stored = existing_measurements(ready, store).select(*OMITTED_COLUMNS)
-    return new_measurements(ready, store), omitted.unionByName(stored)
+    stored = existing_measurements(ready, store, range_of=valid).select(*OMITTED_COLUMNS)
+    return new_measurements(ready, store, range_of=valid), omitted.unionByName(stored)
 
 
 def load_report(payload: DataFrame, omitted: DataFrame, dry_run: bool = True,

@@ -154,7 +154,7 @@ def resolve_stations(measurements: DataFrame, stations: DataFrame, mapping: Data
 
 
 def _stored_keys(store: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Distinct (station, timestamp) keys of the store within the incoming time range.
+    """(station, timestamp) keys of the store within the incoming time range.
 
     The range is a scalar subquery on the incoming side: it prunes the store scan and, unlike a
     range per station, needs no loop over stations.
@@ -163,21 +163,28 @@ def _stored_keys(store: DataFrame, incoming: DataFrame) -> DataFrame:
     ts = F.col("fecha_hora")
     return (
         store.filter((ts >= span.select("a").scalar()) & (ts <= span.select("b").scalar()))
-        .select("id_estacion", "fecha_hora").distinct()
+        .select("id_estacion", "fecha_hora")
     )
 
 
-def new_measurements(incoming: DataFrame, store: DataFrame) -> DataFrame:
-    """Incoming rows whose (station, timestamp) is not stored yet."""
-    return incoming.join(_stored_keys(store, incoming), ["id_estacion", "fecha_hora"], "left_anti")
+def new_measurements(incoming: DataFrame, store: DataFrame,
+                     range_of: DataFrame | None = None) -> DataFrame:
+    """Incoming rows whose (station, timestamp) is not stored yet.
+
+    ``range_of`` gives the time range when ``incoming`` is costly to compute: any frame that
+    holds at least its timestamps.
+    """
+    known = _stored_keys(store, incoming if range_of is None else range_of)
+    return incoming.join(known, ["id_estacion", "fecha_hora"], "left_anti")
 
 
-def existing_measurements(incoming: DataFrame, store: DataFrame) -> DataFrame:
+def existing_measurements(incoming: DataFrame, store: DataFrame,
+                          range_of: DataFrame | None = None) -> DataFrame:
     """Incoming rows already stored, with the reason."""
-    known = incoming.join(
-        _stored_keys(store, incoming), ["id_estacion", "fecha_hora"], "left_semi"
+    known = _stored_keys(store, incoming if range_of is None else range_of)
+    return incoming.join(known, ["id_estacion", "fecha_hora"], "left_semi").withColumn(
+        "motivo_omision", F.lit("medicion_ya_existente")
     )
-    return known.withColumn("motivo_omision", F.lit("medicion_ya_existente"))
 
 
 def insert_absent(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,47 +45,41 @@ def value_counts(df: DataFrame, column: str, count: str = "cantidad") -> DataFra
     return df.groupBy(column).agg(F.count("*").alias(count)).orderBy(F.desc(count), column)
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation: rows (variable, p, cuantil).
-
-    Values are counted per (variable, value), combined map-side, then placed by a two-level
-    running total: over equal-width buckets, then inside a bucket. No task sees all the values
-    of a variable, unlike a percentile aggregate. The broadcast has one row per variable.
-    """
-    values = (
+def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (variable, valor, n) of every non-null value, combined map-side."""
+    return (
         unpivot(df, columns).filter(F.col("valor").isNotNull())
         .groupBy("variable", "valor").agg(F.count("*").alias("n"))
     )
-    span = values.groupBy("variable").agg(F.min("valor").alias("lo"), F.max("valor").alias("hi"))
+
+
+def _quantiles(frequencies: DataFrame, totals: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Quantiles by a two-level running total of frequencies: over equal-width buckets, then
+    inside a bucket. ``totals`` (variable, lo, hi, total) has one row per variable, which bounds
+    its broadcast."""
     share = (F.col("valor") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    counts = values.join(F.broadcast(span), "variable").select(
-        "variable", "valor", "n",
+    counts = frequencies.join(F.broadcast(totals), "variable").select(
+        "variable", "valor", "n", "total",
         F.coalesce(F.floor(share * QUANTILE_BUCKETS), F.lit(0)).alias("tramo"),
     )
     before = (Window.unboundedPreceding, -1)
-    over_buckets = Window.partitionBy("variable").orderBy("tramo")
-    buckets = (
-        counts.groupBy("variable", "tramo").agg(F.sum("n").alias("n"))
-        .select(
-            "variable", "tramo",
-            F.coalesce(F.sum("n").over(over_buckets.rowsBetween(*before)), F.lit(0)).alias("previas"),
-            F.sum("n").over(Window.partitionBy("variable")).alias("total"),
-        )
+    over_buckets = Window.partitionBy("variable").orderBy("tramo").rowsBetween(*before)
+    buckets = counts.groupBy("variable", "tramo").agg(F.sum("n").alias("n")).select(
+        "variable", "tramo", F.coalesce(F.sum("n").over(over_buckets), F.lit(0)).alias("previas")
     )
     inside = Window.partitionBy("variable", "tramo").orderBy("valor").rowsBetween(*before)
     placed = counts.join(buckets, ["variable", "tramo"]).withColumn(
         "desde", F.col("previas") + F.coalesce(F.sum("n").over(inside), F.lit(0))
     )
     position = F.col("p") * (F.col("total") - 1)
-    low = F.floor(position)
+    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
 
     def holds(rank: Column) -> Column:
         return (rank >= F.col("desde")) & (rank < F.col("desde") + F.col("n"))
 
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
     hits = (
         placed.withColumn("p", F.explode(wanted))
-        .withColumn("pos", position).withColumn("low", low)
+        .withColumn("pos", position).withColumn("low", F.floor("pos"))
         .withColumn("en_low", holds(F.col("low")))
         .withColumn("en_high", holds(F.least(F.col("low") + 1, F.col("total") - 1)))
         .filter(F.col("en_low") | F.col("en_high"))
@@ -96,24 +89,49 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         F.max(F.when(F.col("en_high"), F.col("valor"))).alias("b"),
         F.max(F.col("pos") - F.col("low")).alias("f"),
     )
-    return ends.select("variable", "p", (F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("cuantil"))
+    value = F.col("a") + (F.col("b") - F.col("a")) * F.col("f")
+    return ends.select("variable", "p", value.alias("cuantil"))
+
+
+def _totals(frequencies: DataFrame) -> DataFrame:
+    return frequencies.groupBy("variable").agg(
+        F.min("valor").alias("lo"), F.max("valor").alias("hi"), F.sum("n").alias("total"),
+        (F.sum(F.col("valor") * F.col("n")) / F.sum("n")).alias("media"),
+    )
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation: rows (variable, p, cuantil).
+
+    Values are counted first and placed in buckets, so no task sees all the values of a
+    variable, unlike a percentile aggregate.
+    """
+    frequencies = value_frequencies(df, columns)
+    return _quantiles(frequencies, _totals(frequencies), probabilities)
 
 
 def describe(df: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per variable."""
-    columns = available(df, columns)
-    moments = df.agg(*[
-        F.struct(
-            F.lit(c).alias("variable"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"),
-        ).alias(c) for c in columns
-    ]).select(F.explode(F.array(*columns)).alias("m")).select("m.*")
+    """Count, mean, sample deviation, minimum, quartiles and maximum per variable.
+
+    Everything comes from the value frequencies, so the data is read once. Variables without
+    any value have no row.
+    """
+    frequencies = value_frequencies(df, available(df, columns))
+    totals = _totals(frequencies)
+    distance = F.col("valor") - F.col("media")
+    spread = frequencies.join(F.broadcast(totals), "variable").groupBy("variable").agg(
+        F.first("total").alias("count"), F.first("media").alias("mean"),
+        F.sqrt(
+            F.sum(distance * distance * F.col("n")) / F.nullif(F.sum("n") - 1, F.lit(0))
+        ).alias("std"),
+        F.first("lo").alias("min"), F.first("hi").alias("max"),
+    )
     quartile = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-    quantiles = exact_quantiles(df, columns, list(quartile.values())).groupBy("variable").agg(*[
+    quantiles = _quantiles(frequencies, totals, list(quartile.values())).groupBy("variable").agg(*[
         F.max(F.when(F.col("p") == p, F.col("cuantil"))).alias(name)
         for name, p in quartile.items()
     ])
-    return moments.join(quantiles, "variable", "left").select(
+    return spread.join(quantiles, "variable").select(
         "variable", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
@@ -154,29 +172,34 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATION_COLUM
     """Pearson correlation of each pair, over rows where both are present, in one pass.
 
     Rows (variable_x, variable_y, correlacion) hold the upper triangle and the diagonal.
-    Variables without any value are left out.
+    Variables without any value are left out. Each row is repeated once per variable and
+    combined map-side into one group per variable: one wide aggregate over all pairs would be
+    too large to compile.
     """
     columns = available(df, columns)
     if len(columns) < 2:
         raise ValueError(
             "Se necesitan al menos dos variables numéricas para calcular correlaciones."
         )
+    names = F.array(*[F.lit(c) for c in columns])
     numeric = df.select(*[F.col(c).try_cast("double").alias(c) for c in columns])
-    pairs = [(c, c) for c in columns] + list(combinations(columns, 2))
-
-    def both(x: str, y: str) -> Column:
-        return F.when(F.col(y).isNotNull(), F.col(x))
-
-    row = numeric.agg(*[
+    wide = numeric.select("*", F.posexplode(F.array(*columns)).alias("i", "valor"))
+    grouped = wide.groupBy("i").agg(
+        *[F.corr("valor", c).alias(c) for c in columns],
+        *[F.count(c).alias(f"n_{c}") for c in columns],
+    )
+    pairs = F.array(*[
         F.struct(
-            F.lit(x).alias("variable_x"), F.lit(y).alias("variable_y"),
-            F.corr(both(x, y), both(y, x)).alias("correlacion"),
-            (F.count(x) > 0).alias("_x"), (F.count(y) > 0).alias("_y"),
-        ).alias(f"p{i}") for i, (x, y) in enumerate(pairs)
+            F.lit(j).alias("j"), F.col(c).alias("correlacion"), F.col(f"n_{c}").alias("n")
+        ) for j, c in enumerate(columns)
     ])
     return (
-        row.select(F.explode(F.array(*row.columns)).alias("p")).select("p.*")
-        .filter(F.col("_x") & F.col("_y")).drop("_x", "_y")
+        grouped.select("i", F.explode(pairs).alias("p")).select("i", "p.*")
+        .filter((F.col("j") >= F.col("i")) & (F.col("n") > 0))
+        .select(
+            F.get(names, F.col("i")).alias("variable_x"),
+            F.get(names, F.col("j")).alias("variable_y"), "correlacion",
+        )
     )
 
 

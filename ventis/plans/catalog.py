@@ -555,7 +555,7 @@ def validate_errors(spark, root):
 
 @query
 def clean_dataset(spark, root):
-    return Q.clean_dataset(A.faulty_measurements(spark, root))
+    return Q.clean_dataset(A.faulty_measurements(spark, root)).drop("fecha")
 
 
 @query

@@ -560,9 +560,9 @@ SELECT _seq, fecha_hora, TRIM(codigo_estacion) AS codigo_estacion, TRIM(comuna)
          AS direccion_viento_grados,
        CASE WHEN temperatura BETWEEN -50 AND 60 THEN temperatura END AS temperatura,
        CASE WHEN humedad BETWEEN 0 AND 100 THEN humedad END AS humedad, fuente_dato,
-       CAST(fecha_hora AS DATE) AS fecha, CAST(year(fecha_hora) AS INTEGER) AS anio,
-       CAST(month(fecha_hora) AS INTEGER) AS mes, CAST(day(fecha_hora) AS INTEGER) AS dia,
-       CAST(hour(fecha_hora) AS INTEGER) AS hora, dayname(fecha_hora) AS dia_semana
+       CAST(year(fecha_hora) AS INTEGER) AS anio, CAST(month(fecha_hora) AS INTEGER) AS mes,
+       CAST(day(fecha_hora) AS INTEGER) AS dia, CAST(hour(fecha_hora) AS INTEGER) AS hora,
+       dayname(fecha_hora) AS dia_semana
 FROM r WHERE i = 1""")
 
 

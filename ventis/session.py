@@ -23,7 +23,13 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    settings = {**ADAPTIVE_CONF, "spark.sql.session.timeZone": "UTC", **(conf or {})}
+    settings = {
+        **ADAPTIVE_CONF,
+        "spark.sql.session.timeZone": "UTC",
+        # Do not record the Python call site of every expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+        **(conf or {}),
+    }
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
