@@ -18,6 +18,7 @@ SMALL = "/root/testdata/sf0.001"
 SESSION = build_session("tests", "local[4]", {
     "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
     "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false",
+    "spark.sql.maxMetadataStringLength": "2000",
 })
 SESSION.sparkContext.setLogLevel("ERROR")
 

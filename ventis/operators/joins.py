@@ -14,6 +14,7 @@ from ventis.functions.sensors import sensor_type_from_code
 from ventis.functions.text import normalize_comuna
 from ventis.operators.filters import MeasurementFilter
 from ventis.schemas import DETAIL_COLUMNS, MEASUREMENT_COLUMNS, MODELING_COLUMNS, WEATHER
+from ventis.session import materialize
 from ventis.sources.star import Star
 
 NO_FILTER = MeasurementFilter()
@@ -81,34 +82,28 @@ def modeling_dataset(star: Star, where: MeasurementFilter = NO_FILTER,
     )
 
 
-def resolve_stations(measurements: DataFrame, stations: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Find the stored station of each measurement.
+def resolve_codes(codes: DataFrame, stations: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Stored station of each (``_code``, ``_place``) pair.
 
     Exact code first, then the hand mapping, then the only station of the same municipality and
-    sensor type. A hand mapping whose target is missing ends the search. Adds ``id_estacion``,
-    ``codigo_unico_api``, ``modo_mapeo`` and ``motivo_omision`` (NULL when resolved).
-    ``stations`` needs id_estacion, codigo_unico, tipo, comuna.
+    sensor type. A hand mapping whose target is missing ends the search.
     """
-    stations = stations.filter(F.col("id_estacion").isNotNull())
+    stations = stations.filter(F.col("id_estacion").isNotNull() & (F.col("codigo_unico") != ""))
     # One row per code even when the catalogue repeats one; the newest id wins.
-    by_code = stations.filter(F.col("codigo_unico") != "").groupBy("codigo_unico").agg(
-        F.max("id_estacion").alias("id_estacion")
-    )
-    exact = by_code.select(
-        F.col("codigo_unico").alias("_codigo"), F.col("id_estacion").alias("_exacto")
-    )
+    by_code = stations.groupBy("codigo_unico").agg(F.max("id_estacion").alias("_id"))
+    exact = by_code.select(F.col("codigo_unico").alias("_code"), F.col("_id").alias("_exacto"))
     manual = (
         mapping.select(
-            F.trim("codigo_estacion_raw").alias("_codigo_raw"),
+            F.trim("codigo_estacion_raw").alias("_code"),
             F.col("codigo_unico_api").alias("_manual_codigo"),
         )
-        .join(by_code.withColumnRenamed("id_estacion", "_manual_id"),
-              F.col("_manual_codigo") == F.col("codigo_unico"), "left")
-        .select("_codigo_raw", "_manual_codigo", "_manual_id", F.lit(True).alias("_en_mapeo"))
+        .join(by_code, F.col("_manual_codigo") == F.col("codigo_unico"), "left")
+        .select("_code", "_manual_codigo", F.col("_id").alias("_manual_id"),
+                F.lit(True).alias("_en_mapeo"))
     )
     candidates = (
-        stations.filter(F.col("tipo").isNotNull() & (F.col("codigo_unico") != ""))
-        .groupBy(normalize_comuna("comuna").alias("_comuna"), F.col("tipo").alias("_tipo"))
+        stations.filter(F.col("tipo").isNotNull())
+        .groupBy(normalize_comuna("comuna").alias("_place"), F.col("tipo").alias("_kind"))
         .agg(
             F.count("*").alias("_candidatas"),
             F.min("id_estacion").alias("_unica_id"),
@@ -116,43 +111,49 @@ def resolve_stations(measurements: DataFrame, stations: DataFrame, mapping: Data
         )
     )
     joined = (
-        measurements
-        .withColumn("_code", F.trim("codigo_estacion"))
-        .withColumn("_place", normalize_comuna("comuna"))
-        .withColumn("_kind", sensor_type_from_code(F.col("_code")))
-        .join(exact, F.col("_code") == F.col("_codigo"), "left")
-        .join(manual, F.col("_code") == F.col("_codigo_raw"), "left")
-        .join(candidates,
-              (F.col("_place") == F.col("_comuna")) & (F.col("_kind") == F.col("_tipo")), "left")
+        codes.withColumn("_kind", sensor_type_from_code(F.col("_code")))
+        .join(exact, "_code", "left")
+        .join(manual, "_code", "left")
+        .join(candidates, ["_place", "_kind"], "left")
     )
     is_exact = F.col("_exacto").isNotNull()
     is_manual = F.col("_en_mapeo").isNotNull()
     can_guess = F.col("_place").isNotNull() & F.col("_kind").isNotNull()
     one = F.col("_candidatas") == 1
-
-    resolved = joined.withColumns({
-        "id_estacion": F.when(is_exact, F.col("_exacto"))
-        .when(is_manual, F.col("_manual_id"))
-        .when(one, F.col("_unica_id")),
-        "codigo_unico_api": F.when(is_exact, F.col("_code"))
-        .when(is_manual, F.col("_manual_codigo"))
-        .when(one, F.col("_unica_codigo")),
-        "modo_mapeo": F.when(is_exact, "exacto_api")
-        .when(is_manual, "mapeo_manual_csv")
-        .when(can_guess, "heuristico_seguro")
-        .otherwise("sin_mapeo"),
-        "motivo_omision": F.when(is_exact, None)
+    return joined.select(
+        "_code", "_place",
+        F.when(is_exact, F.col("_exacto")).when(is_manual, F.col("_manual_id"))
+        .when(one, F.col("_unica_id")).alias("id_estacion"),
+        F.when(is_exact, F.col("_code")).when(is_manual, F.col("_manual_codigo"))
+        .when(one, F.col("_unica_codigo")).alias("codigo_unico_api"),
+        F.when(is_exact, "exacto_api").when(is_manual, "mapeo_manual_csv")
+        .when(can_guess, "heuristico_seguro").otherwise("sin_mapeo").alias("modo_mapeo"),
+        F.when(is_exact, None)
         .when(is_manual, F.when(F.col("_manual_id").isNull(), "codigo_api_no_disponible"))
         .when(one, None)
         .when(F.col("_candidatas") > 1, "estacion_ambigua")
-        .otherwise("estacion_no_encontrada"),
-    })
-    return resolved.select(
-        *[c for c in measurements.columns if c != "id_estacion"],
-        "id_estacion", "codigo_unico_api", "modo_mapeo", "motivo_omision",
+        .otherwise("estacion_no_encontrada").alias("motivo_omision"),
     )
 
 
+def resolve_stations(measurements: DataFrame, stations: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Find the stored station of each measurement.
+
+    Adds ``id_estacion``, ``codigo_unico_api``, ``modo_mapeo`` and ``motivo_omision`` (NULL when
+    resolved). ``stations`` needs id_estacion, codigo_unico, tipo, comuna.
+
+    The outcome depends on code and municipality only, so the chain runs over the distinct
+    pairs. Its result is written once: Spark then knows its real size and broadcasts it when
+    small, so the measurements are not shuffled once per step; a large one is merge-joined.
+    """
+    keyed = measurements.drop("id_estacion").withColumns({
+        "_code": F.trim("codigo_estacion"), "_place": normalize_comuna("comuna"),
+    })
+    pairs = keyed.select("_code", "_place").distinct()
+    resolved = materialize(resolve_codes(pairs, stations, mapping), "estaciones")
+    return null_safe_join(keyed, resolved, ["_code", "_place"], "left").drop("_code", "_place")
+
+
 def _stored_keys(store: DataFrame, incoming: DataFrame) -> DataFrame:
     """(station, timestamp) keys of the store within the incoming time range.
 

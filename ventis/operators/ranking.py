@@ -17,6 +17,7 @@ from ventis.session import materialize
 
 MAX_GROUP_ROWS = 2_000_000
 BLOCK_ROWS = 200_000
+RANK_PARTITION_ROWS = 2_000_000
 _POSITION_BITS = 33
 
 
@@ -35,14 +36,17 @@ def with_global_rank(df: DataFrame, order: Sequence[str], rank: str = "_rank",
     """Dense 0-based rank over the whole frame, without a single-partition window.
 
     Rows are range-partitioned and sorted by ``order`` (which must be a total order), written
-    once, and numbered as partition offset + position. The offsets table has one row per
-    partition, so broadcasting it is bounded by the partition count, not by the data.
+    once, and numbered as partition offset + position. The number of partitions follows the row
+    count. The offsets table has one row per partition, so broadcasting it is bounded by the
+    partition count, not by the data.
     """
     spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        by_rows = -(-df.count() // RANK_PARTITION_ROWS)
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), by_rows)
     columns = _nulls_last(order)
     placed = materialize(
-        df.repartitionByRange(parts, *columns)
+        df.repartitionByRange(partitions, *columns)
         .sortWithinPartitions(*columns)
         .withColumn("_placed", F.monotonically_increasing_id()),
         "rank",
@@ -71,6 +75,7 @@ def positional_window(
     after: int = 0,
     max_group_rows: int = MAX_GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``before`` rows back and ``after`` rows ahead.
 
@@ -78,8 +83,9 @@ def positional_window(
     is a plain window. Beyond, rows get a global rank by (group, order) and are windowed in
     blocks of ``block_rows`` consecutive ranks; rows near an edge are copied into the
     neighbouring block, so every frame is complete and no task holds a whole group.
+    ``size_of`` is a cheaper frame with at least as many rows per group, for the measurement.
     """
-    if largest_group(df, group) <= max_group_rows:
+    if largest_group(df if size_of is None else size_of, group) <= max_group_rows:
         window = Window.partitionBy(*group).orderBy(*_nulls_last(order))
         return df.withColumns(columns(window))
 

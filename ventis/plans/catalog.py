@@ -26,6 +26,7 @@ from ventis.operators import views as V
 from ventis.operators.filters import MeasurementFilter, ViewFilter, apply_view
 from ventis.operators.prepare import prepare_measurements
 from ventis.schemas import POLLUTANTS, WEATHER
+from ventis.session import materialize
 from ventis.sources import adapter as A
 from ventis.sources import readers, star as T
 from ventis.sources.writers import payload_json
@@ -759,27 +760,37 @@ def _features(spark, root) -> DataFrame:
     return X.build_features(dataset(spark, root), ORDER)
 
 
-def _linear(spark, root):
-    """Features and a linear model fitted on the older 80 % of the labelled rows."""
-    features = _features(spark, root)
+# A smaller forest than the default of 300 deep trees: the fit is repeated for every check.
+CHECK_FOREST = P.Forest(trees=20, depth=8, bins=32)
+
+
+def _fitted(spark, root, name: str):
+    """Features, newest 20 % of the labelled rows, and a model fitted on the older 80 %."""
+    features = materialize(_features(spark, root), "features")
     ranked = X.rank_in_time(X.training_rows(features), ["id_monitoreo"])
     train, test = X.temporal_split(ranked)
-    return features, test, P.fit_models(train, names=["linear_regression"])["linear_regression"]
+    return features, test, P.fit_models(train, CHECK_FOREST, [name])[name]
 
 
 @query
 def forecast_eval(spark, root):
-    _, test, model = _linear(spark, root)
+    _, test, model = _fitted(spark, root, "linear_regression")
+    return P.regression_metrics(P.predict(model, test))
+
+
+@query
+def forest_eval(spark, root):
+    _, test, model = _fitted(spark, root, "random_forest")
     return P.regression_metrics(P.predict(model, test))
 
 
 @query
 def forecast_24h(spark, root):
-    features, _, model = _linear(spark, root)
+    features, _, model = _fitted(spark, root, "linear_regression")
     return P.forecast_report(P.predict(model, P.forecast_rows(features, ORDER)))
 
 
 @query
 def feature_importance(spark, root):
-    _, test, model = _linear(spark, root)
+    _, test, model = _fitted(spark, root, "random_forest")
     return P.feature_importance(model, model.transform(test))
