@@ -7,7 +7,9 @@ from ventis.operators import joins as J
 from ventis.operators import ranking as K
 from ventis.operators import rollups as R
 from ventis.operators.filters import MeasurementFilter, ViewFilter, apply_view
+from ventis.plans import etl
 from ventis.schemas import MODELING_COLUMNS, OMITTED_COLUMNS, WEATHER
+from ventis.sources.writers import write_measurements
 
 STATION_SCHEMA = "id_estacion long, codigo_unico string, tipo string, comuna string"
 MAPPING_SCHEMA = "codigo_estacion_raw string, codigo_unico_api string"
@@ -181,6 +183,35 @@ def test_bulk_ingest(spark, star):
     assert (summary["insertados"], summary["errores"]) == (1, 6)
 
 
+def test_single_insert(spark, star):
+    ok = G.insert_one(batch(spark, {}), star.estaciones, star.monitoreo)
+    assert ok.count() == 1
+    with pytest.raises(LookupError, match="id_estacion=7"):
+        G.insert_one(batch(spark, {"id_estacion": 7}), star.estaciones, star.monitoreo)
+    with pytest.raises(ValueError, match="Ya existe"):
+        G.insert_one(batch(spark, {"fecha_hora": at("2026-06-18")}), star.estaciones, star.monitoreo)
+
+
+def test_payload_is_appended_to_its_own_store(spark, star, measurements, tmp_path):
+    path = str(tmp_path / "fact")
+    write_measurements(star.monitoreo.drop("id_monitoreo"), path)
+    store = spark.read.parquet(path)
+    df = measurements({"codigo_estacion": "SEN-TAL-OF-001", "fecha_hora": at("2026-06-18")},
+                      {"codigo_estacion": "SEN-TAL-OF-001"},
+                      {"codigo_estacion": "SEN-CHI-ONG-001", "comuna": "Chillan"})
+    stations = star.places().select("id_estacion", "codigo_unico", "tipo", "comuna")
+    mapping = spark.createDataFrame([], MAPPING_SCHEMA)
+    for inserted, total in ((2, 4), (0, 4)):
+        result, rejected = etl.store_payload(
+            etl.load(df, stations, mapping, store), star.estaciones, store, path)
+        report = result.report.first()
+        assert (report["modo"], report["insertados"], report["errores"]) == ("api", inserted, 0)
+        assert report["omitidas_por_medicion_ya_existente"] == 3 - inserted
+        assert rejected.count() == 0
+        store = spark.read.parquet(path)
+        assert store.count() == total
+
+
 def test_insert_absent_and_coverage(spark, star):
     incoming = spark.createDataFrame([("Talca",), ("Nueva",), (None,)], "nombre string")
     rows = J.insert_absent(incoming, star.comunas, ["nombre"]).collect()

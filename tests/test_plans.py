@@ -14,7 +14,7 @@ from ventis.operators.filters import MeasurementFilter
 from ventis.operators.rollups import mp25_by_comuna
 from ventis.plans.catalog import QUERIES
 from ventis.plans.oracles import ORACLES
-from ventis.session import shared_dir
+from ventis.session import materialize, shared_dir
 from ventis.sources import adapter
 
 MODELS = {"kmeans_assign", "k_sweep", "forecast_eval", "forest_eval", "forecast_24h", "feature_importance"}
@@ -65,38 +65,67 @@ def test_no_fact_window_on_a_single_partition(spark):
             assert "_part" in below or "partial_" in below, name
 
 
-def test_hot_key_join_is_split(spark):
-    """Adaptive execution splits the partition of a key that holds most rows."""
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for key, value in conf.items():
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Tables too large to broadcast, small skew limits."""
+    before = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for key, value in SKEW_CONF.items():
         spark.conf.set(key, value)
-    try:
-        n = F.col("id")
-        df = spark.range(0, 60000, 1, 8).select(
-            n.alias("_seq"),
-            F.when(n % 3 > 0, "HOT").otherwise(F.concat(F.lit("S"), n)).alias("codigo_estacion"),
-            F.lit(at("2026-01-01")).cast("timestamp_ntz").alias("fecha_hora"),
-            F.sha2(n.cast("string"), 256).alias("relleno"),
-        )
-        flagged = Q.flag_duplicates(df)
-        flagged.write.format("noop").mode("overwrite").save()
-        rows = flagged.groupBy("duplicado").count().collect()
-        assert {r["duplicado"]: r["count"] for r in rows} == {True: 39999, False: 20001}
-        executed = flagged._jdf.queryExecution().executedPlan()
-        flagged.collect()
-        assert "skew=true" in executed.toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot(spark):
+    """Two thirds of the rows share one station."""
+    n = F.col("id")
+    return spark.range(0, 60000, 1, 8).select(
+        n.alias("_seq"),
+        F.when(n % 3 > 0, "HOT").otherwise(F.concat(F.lit("S"), n)).alias("codigo_estacion"),
+        F.when(n % 3 > 0, 1).otherwise(n).cast("long").alias("id_estacion"),
+        F.lit(at("2026-01-01")).cast("timestamp_ntz").alias("fecha_hora"),
+        n.cast("double").alias("mp25"),
+        F.sha2(n.cast("string"), 256).alias("relleno"),
+    )
+
+
+def test_duplicates_of_a_hot_key_are_split(spark, no_broadcast):
+    flagged = Q.flag_duplicates(hot(spark))
+    rows = flagged.groupBy("duplicado").count().collect()
+    assert {r["duplicado"]: r["count"] for r in rows} == {True: 39999, False: 20001}
+    flagged.collect()
+    assert "skew=true" in plan_of(flagged)
+
+
+def test_star_join_of_a_hot_station_is_split(spark, no_broadcast):
+    star = adapter.star(spark, SMALL)
+    stations = hot(spark).select("id_estacion").distinct().select(
+        "id_estacion", F.lit("x").alias("codigo_unico"), F.lit("t").alias("tipo"),
+        F.lit(0.0).alias("latitud"), F.lit(0.0).alias("longitud"), F.lit(3).cast("long").alias("id_comuna"))
+    busy = type(star)(star.comunas, materialize(stations, "est"), star.industrias, hot(spark))
+    joined = J.star_join(busy)
+    assert len(joined.collect()) == 60000
+    assert "skew=true" in plan_of(joined)
+
+
+def test_few_repeated_keys_do_not_shuffle_the_rows(spark):
+    flagged = Q.flag_duplicates(hot(spark))
+    plan = plan_of(flagged)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    folder = shared_dir(spark)
+    assert folder == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    table = materialize(spark.range(3).toDF("x"), "t")
+    assert folder.split(":")[-1] in table.inputFiles()[0] and table.count() == 3

@@ -12,6 +12,7 @@ from ventis.schemas import OMITTED_COLUMNS, POLLUTANTS, WEATHER
 
 INGEST_COLUMNS = ["fecha_hora", "id_estacion", *POLLUTANTS, *WEATHER]
 DUPLICATE_REASON = "Ya existe una medicion para esa estacion y fecha_hora."
+UNKNOWN_STATION = "No existe estacion con id_estacion="
 MAPPING_MODE = "exacto_api>mapeo_manual_csv>heuristico_seguro"
 # Report column -> omission reason.
 OMISSION_COUNTS = {
@@ -46,7 +47,7 @@ def _field_errors(batch: DataFrame) -> DataFrame:
 
 
 def _unknown_station() -> Column:
-    return F.concat(F.lit("No existe estacion con id_estacion="), F.col("id_estacion"))
+    return F.concat(F.lit(UNKNOWN_STATION), F.col("id_estacion"))
 
 
 def orphan_rows(batch: DataFrame, stations: DataFrame) -> DataFrame:
@@ -80,6 +81,21 @@ def ingest_batch(batch: DataFrame, stations: DataFrame, store: DataFrame,
     return accepted, rejected
 
 
+def insert_one(measurement: DataFrame, stations: DataFrame, store: DataFrame,
+               index: str = "indice") -> DataFrame:
+    """Single-row ingest: the accepted row, or an error.
+
+    An unknown station raises ``LookupError``, any other rejection ``ValueError``.
+    """
+    accepted, rejected = ingest_batch(measurement, stations, store, index)
+    problem = rejected.first()
+    if problem is None:
+        return accepted
+    if problem["motivo"].startswith(UNKNOWN_STATION):
+        raise LookupError(problem["motivo"])
+    raise ValueError(problem["motivo"])
+
+
 def ingest_summary(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
     return accepted.agg(F.count("*").alias("insertados")).select(
         "insertados", rejected.agg(F.count("*")).scalar().alias("errores")

@@ -14,6 +14,7 @@ from ventis.operators.joins import null_safe_join
 from ventis.operators.ranking import first_per_key
 from ventis.operators.statistics import add_calendar
 from ventis.schemas import MEASUREMENT_COLUMNS, POLLUTANTS, require_columns
+from ventis.session import materialize
 from ventis.sources.star import Star
 
 KEY = ["codigo_estacion", "fecha_hora"]
@@ -72,23 +73,23 @@ def messages(rules: Sequence[Rule]) -> Column:
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    """First ``seq`` of every key that occurs more than once.
-
-    Rows are combined map-side. The explicit repartition ends a stage after the filter, so
-    adaptive execution sees how few keys repeat and joins them by broadcast, or splits the hot
-    ones of a sort-merge join.
-    """
+    """First ``seq`` of every key that occurs more than once; combined map-side."""
     return (
         df.groupBy(*keys).agg(F.min(seq).alias("_primera"), F.count("*").alias("_n"))
         .filter(F.col("_n") > 1).drop("_n")
-        .repartition(*keys)
     )
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str] = KEY, seq: str = "_seq",
                     flag: str = "duplicado") -> DataFrame:
-    """True on every row of a key but the first by ``seq``; NULL keys equal each other."""
-    joined = null_safe_join(df, duplicate_keys(df, keys, seq), keys, "left")
+    """True on every row of a key but the first by ``seq``; NULL keys equal each other.
+
+    The repeated keys are written once, so the join is planned from their real size: usually
+    they are few and broadcast, and the rows are not shuffled however many share a key. A large
+    set is merge-joined, where adaptive execution splits a hot key.
+    """
+    repeated = materialize(duplicate_keys(df, keys, seq), "repetidas")
+    joined = null_safe_join(df, repeated, keys, "left")
     is_later = F.coalesce(F.col(seq) > F.col("_primera"), F.lit(False))
     return joined.withColumn(flag, is_later).drop("_primera")
 

@@ -6,10 +6,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ventis.functions.air import ica_category
 from ventis.operators.features import fill_context
-from ventis.operators.ingest import load_report, prepare_load
+from ventis.operators.ingest import INGEST_COLUMNS, ingest_batch, load_report, prepare_load
 from ventis.operators.joins import join_weather, modeling_dataset
 from ventis.operators.prepare import (
     number_rows, prepare_industries, prepare_measurements, prepare_weather, unify,
@@ -19,8 +20,7 @@ from ventis.schemas import MEASUREMENT_COLUMNS, MODELING_COLUMNS
 from ventis.session import materialize
 from ventis.sources.readers import read_all_sources
 from ventis.sources.star import Star
-from ventis.sources.writers import write_payload, write_table
-from pyspark.sql import functions as F
+from ventis.sources.writers import write_measurements, write_payload, write_table
 
 
 @dataclass(frozen=True)
@@ -65,14 +65,44 @@ def load(valid: DataFrame, stations: DataFrame, mapping: DataFrame,
     return LoadResult(payload, omitted, load_report(payload, omitted, dry_run=store is None))
 
 
+def store_payload(result: LoadResult, stations: DataFrame, store: DataFrame,
+                  path: str) -> tuple[LoadResult, DataFrame]:
+    """Ingest a prepared payload and append the accepted rows to the fact table at ``path``.
+
+    Returns the result with its final report, and the rejected rows. Both outputs are written
+    before the append, so reading ``store`` from ``path`` itself is safe.
+    """
+    batch = materialize(
+        result.payload.select(*INGEST_COLUMNS, F.monotonically_increasing_id().alias("indice")),
+        "payload",
+    )
+    accepted, rejected = ingest_batch(batch, stations, store)
+    accepted, rejected = materialize(accepted, "aceptadas"), materialize(rejected, "rechazadas")
+    write_measurements(accepted.drop("indice"), path, mode="append")
+    # Row counts come from the files just written.
+    report = load_report(result.payload, result.omitted, False, accepted.count(), rejected.count())
+    return LoadResult(result.payload, result.omitted, materialize(report, "reporte")), rejected
+
+
 def run_etl(spark: SparkSession, paths: Mapping[str, str], out: str, stations: DataFrame,
-            mapping: DataFrame, store: DataFrame | None = None, date_policy: str = "iso",
-            formats: Mapping[str, str] | None = None) -> LoadResult:
-    """Read, clean, validate, prepare the load and write every output under ``out``."""
+            mapping: DataFrame, store: DataFrame | None = None, store_path: str | None = None,
+            date_policy: str = "iso", formats: Mapping[str, str] | None = None) -> LoadResult:
+    """Read, clean, validate, prepare the load and write every output under ``out``.
+
+    With ``store`` and ``store_path`` accepted rows are appended to the fact table; otherwise
+    it is a dry run.
+    """
     tables = transform_sources(read_all_sources(spark, paths, formats), date_policy)
     clean = materialize(tables["mediciones_limpias"], "limpias")
     valid, errors = validate_measurements(clean)
     result = load(valid, stations, mapping, store)
+    result = LoadResult(
+        materialize(result.payload, "carga"), materialize(result.omitted, "omitidas"),
+        result.report,
+    )
+    if store is not None and store_path is not None:
+        result, rejected = store_payload(result, stations, store, store_path)
+        write_table(rejected, f"{out}/rechazadas_carga_api")
     outputs = {
         "mediciones_limpias": clean.drop("_seq"),
         "industrias_limpias": tables["industrias_limpias"],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeansModel
@@ -24,12 +25,13 @@ class Segmentation:
 
 
 def run_segmentation(dataset: DataFrame, k: int = 3, seed: int = 42, starts: int = 10,
-                     low: int = 2, high: int = 6, sample: int = C.SILHOUETTE_SAMPLE) -> Segmentation:
+                     low: int = 2, high: int = 6, sample: int = C.SILHOUETTE_SAMPLE,
+                     columns: Sequence[str] = C.CLUSTER_COLUMNS) -> Segmentation:
     """Scale, sweep k, keep the model of the wanted k, label and summarise.
 
     The sweep's own model is reused. Vectors are cached while the fits run over them.
     """
-    scaling = C.fit_scaling(dataset)
+    scaling = C.fit_scaling(dataset, columns)
     vectors = C.assemble(dataset, scaling).select(C.FEATURES).persist()
     try:
         sweep, models = C.k_sweep(vectors, low, high, seed, starts, sample)

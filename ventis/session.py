@@ -50,14 +50,24 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/ventis/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts the lineage like a reliable checkpoint, survives executor loss, and later readers
-    still prune columns and push filters into the Parquet scan.
+    Cuts the lineage like a reliable checkpoint and survives executor loss. Later readers still
+    prune columns and push filters into the Parquet scan, and joins are planned from the real
+    size.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; frames that read them stop working."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
