@@ -146,11 +146,9 @@ def repair_mojibake(spark, root):
 
 @query
 def prepare_measurements_(spark, root):
+    """The same raw feed taken once as official and once as community."""
     raw = A.raw_text_feed(spark, root)
-    community = raw.filter(F.col("_seq") % 2 == 1)
-    official = raw.filter(F.col("_seq") % 2 == 0)
-    parts = [prepare_measurements(official, "oficial"), prepare_measurements(community, "ong")]
-    return parts[0].unionByName(parts[1])
+    return prepare_measurements(raw, "oficial").unionByName(prepare_measurements(raw, "ong"))
 
 
 def _codes(spark, root) -> DataFrame:
@@ -722,6 +720,12 @@ def cluster_summary(spark, root):
     return rounded(out, "puntaje_riesgo")
 
 
+@query
+def cluster_means(spark, root):
+    out = V.cluster_summary_from_rows(C.assign_labels(levels(spark, root)))
+    return rounded(out, *C.RISK_WEIGHTS)
+
+
 @query
 def risk_distribution(spark, root):
     return V.risk_distribution(C.assign_labels(levels(spark, root)))

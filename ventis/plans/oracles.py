@@ -287,9 +287,8 @@ SELECT event_id AS _seq, {_COMUNA_NAME} AS original, {_COMUNA_NAME} AS reparado
 oracle("prepare_measurements", f"""
 SELECT event_id AS _seq, {_WHEN} AS fecha_hora, 'SEN-' || user_id AS codigo_estacion,
        {_COMUNA_NAME} AS comuna, {_REGION_NAME} AS region, {_MP25} AS mp25, value + k AS mp10,
-       r AS so2, {_NO2} AS no2,
-       CASE WHEN event_id % 2 = 0 THEN 'oficial' ELSE 'comunitaria' END AS fuente_dato
-FROM ev""")
+       r AS so2, {_NO2} AS no2, fuente_dato
+FROM ev, (VALUES ('oficial'), ('comunitaria')) AS f(fuente_dato)""")
 _SOURCE = "CASE k % 5 WHEN 0 THEN 'oficial' WHEN 1 THEN 'ong' WHEN 2 THEN 'comunitaria' END"
 _LENIENT = f"""CASE WHEN {_SOURCE} = 'ong' OR k % 7 IN (3, 4, 5) THEN 'sensor_comunitario_ong'
   WHEN {_SOURCE} = 'oficial' OR k % 7 IN (0, 1) THEN 'publico_oficial'
@@ -727,6 +726,8 @@ SELECT id_monitoreo, cluster, nivel_riesgo FROM nivel JOIN (
 oracle("cluster_summary", f"""
 SELECT cluster, nivel_riesgo, cantidad_registros, {rnd('puntaje_riesgo')} AS puntaje_riesgo
 FROM etiqueta""")
+oracle("cluster_means", "SELECT cluster, nivel_riesgo, cantidad_registros, " + ", ".join(
+    f"{rnd(c)} AS {c}" for c in RISK_WEIGHTS) + " FROM etiqueta")
 oracle("risk_distribution", f"""
 SELECT CAST(i - 1 AS INTEGER) AS orden, nivel_riesgo, CAST(n AS BIGINT) AS cantidad_registros,
        {rnd('n * CAST(100 AS DOUBLE) / SUM(n) OVER ()', 2)} AS porcentaje

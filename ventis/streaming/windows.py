@@ -14,11 +14,12 @@ def windowed_ica(measurements: DataFrame, places: DataFrame, width: str = "6 hou
     """Tumbling windows of measurements joined to their municipality.
 
     The same code runs on a batch frame and, with a ``watermark``, on a stream: the places are
-    then the static side of the join.
+    then the static side of the join. A watermark needs a zoned timestamp, so run streams in a
+    UTC session, as :func:`ventis.session.build_session` sets it.
     """
-    timed = measurements.withColumn("ts", F.col("fecha_hora").cast("timestamp"))
+    timed = measurements.withColumn("ts", F.col("fecha_hora"))
     if watermark is not None:
-        timed = timed.withWatermark("ts", watermark)
+        timed = timed.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
     located = timed.join(places.select("id_estacion", "comuna", "region"), "id_estacion")
     mean = round_half_up(F.col("media"))
     return (
