@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 from ventis.functions.dates import calendar_parts
 from ventis.functions.numeric import round_half_up
 from ventis.schemas import CONTEXT, POLLUTANTS, WEATHER, require_columns
+from ventis.session import materialize
 
 CORRELATION_COLUMNS = [
     *POLLUTANTS, "velocidad_viento", "temperatura", "humedad", *CONTEXT,
 ]
-QUANTILE_BUCKETS = 50_000
 DESCRIBE_COLUMNS = [*POLLUTANTS, *WEATHER, *CONTEXT]
 
 
@@ -46,30 +46,38 @@ def value_counts(df: DataFrame, column: str, count: str = "cantidad") -> DataFra
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (variable, valor, n) of every non-null value, combined map-side."""
-    return (
+    """Rows (variable, valor, n, tramo) of every non-null value, written once.
+
+    Counts are combined map-side. ``tramo`` numbers ordered value ranges of about equal size,
+    taken from a range partitioning, so an odd distribution cannot fill one range.
+    """
+    counts = (
         unpivot(df, columns).filter(F.col("valor").isNotNull())
         .groupBy("variable", "valor").agg(F.count("*").alias("n"))
     )
+    ranged = counts.repartitionByRange("variable", "valor").withColumn(
+        "tramo", F.spark_partition_id()
+    )
+    return materialize(ranged, "frecuencias")
 
 
 def _quantiles(frequencies: DataFrame, totals: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Quantiles by a two-level running total of frequencies: over equal-width buckets, then
-    inside a bucket. ``totals`` (variable, lo, hi, total) has one row per variable, which bounds
-    its broadcast."""
-    share = (F.col("valor") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    counts = frequencies.join(F.broadcast(totals), "variable").select(
-        "variable", "valor", "n", "total",
-        F.coalesce(F.floor(share * QUANTILE_BUCKETS), F.lit(0)).alias("tramo"),
-    )
+    """Quantiles by a two-level running total: over value ranges, then inside a range.
+
+    ``totals`` has one row per variable and ``buckets`` one per variable and range, which bounds
+    both broadcasts.
+    """
     before = (Window.unboundedPreceding, -1)
     over_buckets = Window.partitionBy("variable").orderBy("tramo").rowsBetween(*before)
-    buckets = counts.groupBy("variable", "tramo").agg(F.sum("n").alias("n")).select(
-        "variable", "tramo", F.coalesce(F.sum("n").over(over_buckets), F.lit(0)).alias("previas")
+    buckets = frequencies.groupBy("variable", "tramo").agg(F.sum("n").alias("m")).select(
+        "variable", "tramo", F.coalesce(F.sum("m").over(over_buckets), F.lit(0)).alias("previas")
     )
     inside = Window.partitionBy("variable", "tramo").orderBy("valor").rowsBetween(*before)
-    placed = counts.join(buckets, ["variable", "tramo"]).withColumn(
-        "desde", F.col("previas") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    placed = (
+        frequencies.withColumn("antes", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+        .join(F.broadcast(buckets), ["variable", "tramo"])
+        .join(F.broadcast(totals.select("variable", "total")), "variable")
+        .withColumn("desde", F.col("previas") + F.col("antes"))
     )
     position = F.col("p") * (F.col("total") - 1)
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
@@ -103,8 +111,8 @@ def _totals(frequencies: DataFrame) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: rows (variable, p, cuantil).
 
-    Values are counted first and placed in buckets, so no task sees all the values of a
-    variable, unlike a percentile aggregate.
+    Values are counted first and placed by ranges, so no task sees all the values of a variable,
+    unlike a percentile aggregate.
     """
     frequencies = value_frequencies(df, columns)
     return _quantiles(frequencies, _totals(frequencies), probabilities)
