@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,18 +35,13 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or else the session's warehouse.
 
-    Only a local master may go without it; a temporary folder is then made and remembered.
+    Both are locations of the cluster's own file system; a machine-local temporary folder is
+    never made.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors.")
-    folder = tempfile.mkdtemp(prefix="ventis-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def _own_folder(spark: SparkSession) -> str:
