@@ -74,8 +74,8 @@ ORACLES = {
         judged AS (
             SELECT k.doc_id, k.at, k.line, r.last IS NOT NULL AND r.last <> k.doc_id AS dropped
             FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
-        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT dropped), ''))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), ''))
                    AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
