@@ -6,9 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ventis.llm import language_id, line_dedup, packing, pii, simhash_dedup
+from ventis.llm import (
+    doc_fingerprints,
+    language_id,
+    line_dedup,
+    packing,
+    pii,
+    piece_codec,
+    sharding,
+    simhash_dedup,
+)
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 CORPUS_KEY = "surrogates-v1"
 
 
@@ -23,6 +33,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op3_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: fingerprints of its text and of its edit, with likeness to edit and next."""
+    return doc_fingerprints.edited_fingerprints(_documents(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per piece: its tokens' checksum and its place in a sequence of 4096 tokens."""
     return packing.pack_documents(_documents(spark, sf_dir), WORD_TOKENIZER)
@@ -37,6 +52,21 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its shard of 16 under the key law, its place there, and its shard of 17."""
+    now = sharding.SlotMap.initial(sharding.SHARDS)
+    grown = now.add_shard()
+    placed = sharding.assign(_documents(spark, sf_dir), now)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
+        grown.shard_of(sharding.slot_of()).alias("grown_shard"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number and digest of its piece ids, and digest of their decoding."""
+    return piece_codec.encoding_digests(_documents(spark, sf_dir), PIECE_MODEL)
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: SimHash of 4-word shingles and component over links of up to 4 bits."""
     found = simhash_dedup.simhash_components(_documents(spark, sf_dir))
@@ -51,8 +81,11 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_minhash_fingerprints": op3_minhash_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_language_id": op6_language_id,
+    "op7_virtual_slots": op7_virtual_slots,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_pii_surrogates": op10_pii_surrogates,
 }
@@ -63,7 +96,7 @@ ORACLES = {
         WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         lines AS (
             SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-                   unnest(range(len(string_split(text, chr(10))))) AS at FROM docs),
+                   unnest(range(len(string_split(text, chr(10))))) AS pos FROM docs),
         keyed AS (
             SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -72,10 +105,10 @@ ORACLES = {
             SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40
             GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
         judged AS (
-            SELECT k.doc_id, k.at, k.line, r.last IS NOT NULL AND r.last <> k.doc_id AS dropped
+            SELECT k.doc_id, k.pos, k.line, r.last IS NOT NULL AND r.last <> k.doc_id AS dropped
             FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), ''))
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
                    AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
