@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from ventis.llm import (
     doc_fingerprints,
+    embedding_dedup,
     language_id,
     line_dedup,
+    ngram_lm,
     packing,
     pii,
     piece_codec,
@@ -33,6 +35,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector: links at cosine 0.95, component, and whether it is the component's first."""
+    return embedding_dedup.near_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op3_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: fingerprints of its text and of its edit, with likeness to edit and next."""
     return doc_fingerprints.edited_fingerprints(_documents(spark, sf_dir))
@@ -43,6 +50,15 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), WORD_TOKENIZER)
 
 
+def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: log10 probability by the Katz model and by the smoothed unigram base."""
+    docs = _documents(spark, sf_dir).withColumn("learn", language_id.fold() != 1)
+    held_out = F.coalesce(language_id.fold() == 1, F.lit(False))
+    return ngram_lm.score_documents(docs, "learn").select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: predicted language and its posterior; fold 0 of 5 is never learned from."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -81,8 +97,10 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_minhash_fingerprints": op3_minhash_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_katz_scores": op5_katz_scores,
     "op6_language_id": op6_language_id,
     "op7_virtual_slots": op7_virtual_slots,
     "op8_sentencepiece": op8_sentencepiece,
