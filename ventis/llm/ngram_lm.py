@@ -6,7 +6,7 @@ probabilities of a context sum to one exactly. The unigram level gives its own d
 to one class of unknown words. Counts above the Good-Turing range lose a small fixed amount, so
 every context keeps some mass.
 
-Data flow. Texts become blocks of a few million tokens as arrays of local word numbers. A block
+Data flow. Texts become blocks of under a million tokens as arrays of local word numbers. A block
 sends its distinct words and word pairs (hashed, with training counts) to count shards, as one
 packed row per shard, and gets their corpus counts back in the same order. From these each block
 adds up what it can: per document the terms of the score, per context the statistics of the
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ventis.llm.common import mix64, parallelism, slices, utf8
 from ventis.session import materialize
 
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 800_000
 GOOD_TURING_MAX = 5
 LARGE_DISCOUNT = 0.1
 EXACT = GOOD_TURING_MAX + 1
@@ -170,11 +170,11 @@ def _ask(block: _Block) -> pa.RecordBatch:
     counts = np.bincount(block.word[learned], minlength=len(block.words))[order]
     for shard, a, b in _runs(block.word_shard[order]):
         rows.append((1, shard, block.blk, block.words[order[a:b]].tobytes(),
-                     counts[a:b].astype("<u4").tobytes()))
+                     _zip(counts[a:b].astype("<u4"))))
     counts = np.bincount(block.pair[learned], minlength=len(block.pairs))
     for shard, a, b in _runs((block.pairs >> np.uint64(_KEY_BITS)).astype(np.int64)):
         rows.append((2, shard, block.blk, _six(block.pairs[a:b] & _KEY_MASK),
-                     counts[a:b].astype("<u4").tobytes()))
+                     _zip(counts[a:b].astype("<u4"))))
     types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(zip(*rows), types)],
@@ -183,16 +183,6 @@ def _ask(block: _Block) -> pa.RecordBatch:
 
 # --- count shards -----------------------------------------------------------------------------
 
-def _narrow(values: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes as the largest needs; the first byte tells how many."""
-    width = next(w for w in (1, 2, 4, 8) if not len(values) or values.max() < 1 << 8 * w - 1)
-    return bytes([width]) + values.astype(f"<i{width}").tobytes()
-
-
-def _widen(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<i{data[0]}", offset=1).astype(np.int64)
-
-
 def _classes(counts: np.ndarray) -> np.ndarray:
     return np.minimum(counts, CLASSES - 1)
 
@@ -207,7 +197,7 @@ def _count_shard(table: pa.Table) -> pa.Table:
     read = _from_six if level == 2 else lambda data: np.frombuffer(data, "<u8")
     asked = [read(x) for x in table["keys"].to_pylist()]
     keys = np.concatenate(asked)
-    counts = np.concatenate([np.frombuffer(x, "<u4") for x in table["counts"].to_pylist()])
+    counts = np.concatenate([_unzip(x, "<u4") for x in table["counts"].to_pylist()])
     distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
     # Sums of whole numbers, exact in double precision far beyond any corpus.
     totals = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.int64)
@@ -222,7 +212,7 @@ def _count_shard(table: pa.Table) -> pa.Table:
         "blk": pa.array([*blocks, -1], pa.int64()),
         "level": pa.array([level] * (len(blocks) + 1), pa.int32()),
         "shard": pa.array([table["shard"][0].as_py()] * (len(blocks) + 1), pa.int64()),
-        "counts": pa.array([*(_narrow(answer[e - len(x):e]) for x, e in zip(asked, ends)),
+        "counts": pa.array([*(_zip(answer[e - len(x):e]) for x, e in zip(asked, ends)),
                             stats.tobytes()], pa.binary()),
         "owned": pa.array([*(np.packbits(owned[e - len(x):e]).tobytes()
                              for x, e in zip(asked, ends)), b""], pa.binary()),
@@ -239,14 +229,14 @@ def _part(rows: list[tuple]) -> pa.Table:
 def _evaluate(block: _Block, answers: list[dict]) -> pa.Table:
     """Score terms per document (kind 1) and context statistics per shard (kind 0) of a block."""
     answers = sorted(answers, key=lambda row: (row["level"], row["shard"]))
-    one = np.concatenate([_widen(x["counts"]) for x in answers if x["level"] == 1])
-    two = [x for x in answers if x["level"] == 2]
+    one = np.concatenate([_unzip(x["counts"], "<i8") for x in answers if x["level"] == 1])
+    two = [(_unzip(x["counts"], "<i8"), x["owned"]) for x in answers if x["level"] == 2]
     word_count = np.empty(len(block.words), np.int64)
     word_count[block.word_order] = one
-    pair_count = np.concatenate([_widen(x["counts"]) for x in two])
+    pair_count = np.concatenate([counts for counts, _ in two])
     owned = np.concatenate([
-        np.unpackbits(np.frombuffer(x["owned"], np.uint8), count=len(_widen(x["counts"])))
-        for x in two]).astype(bool)
+        np.unpackbits(np.frombuffer(bits, np.uint8), count=len(counts)) for counts, bits in two
+    ]).astype(bool)
 
     # A context occurs as often as its word; the start as often as the end.
     as_context = word_count.copy()
@@ -302,8 +292,8 @@ def _evaluate(block: _Block, answers: list[dict]) -> pa.Table:
     order = order[told[order]]
     for shard, a, b in _runs(block.word_shard[order]):
         at = order[a:b]
-        rows.append((0, shard, block.blk, block.words[at].tobytes(), small[at].tobytes(),
-                     np.column_stack([followers[at], as_context[at]]).astype("<i8").tobytes(),
+        rows.append((0, shard, block.blk, block.words[at].tobytes(), _zip(small[at].T),
+                     _zip(np.stack([followers[at], as_context[at]]).astype("<i8")),
                      wanted[at].tobytes()))
     return _part(rows)
 
@@ -406,8 +396,8 @@ def score_documents(docs: DataFrame, learn: str, id_col: str = "doc_id",
         rows = table.to_pylist()
         asked = [np.frombuffer(row["a"], "<u8") for row in rows]
         words, inverse = np.unique(np.concatenate(asked), return_inverse=True)
-        small = np.concatenate([np.frombuffer(x["b"], "<i4").reshape(-1, 2 * CLASSES) for x in rows])
-        large = np.concatenate([np.frombuffer(x["c"], "<i8").reshape(-1, 2) for x in rows])
+        small = np.concatenate([_unzip(x["b"], "<i4").reshape(2 * CLASSES, -1).T for x in rows])
+        large = np.concatenate([_unzip(x["c"], "<i8").reshape(2, -1).T for x in rows])
         total = np.zeros((len(words), 2 * CLASSES), np.int64)
         np.add.at(total, inverse, small)
         followers = np.zeros(len(words), np.int64)
