@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,11 +141,16 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def result(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for series in texts:
-            found = [shared.value.predict(text) for text in series]
-            yield pd.DataFrame(found, columns=["lang_pred", "score"])
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def result(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            found = []
+            for start in range(0, len(column), SLICE_ROWS):
+                found += map(shared.value.predict, column.slice(start, SLICE_ROWS).to_pylist())
+            langs, scores = zip(*found) if found else ((), ())
+            yield pa.StructArray.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                ["lang_pred", "score"])
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     return docs.select(*kept, result(F.col(text_col)).alias("_found")).select(

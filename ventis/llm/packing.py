@@ -24,14 +24,14 @@ from ventis.session import materialize
 MAX_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 30_000
-MEMO_WORDS = 400_000
+MEMO_WORDS = 1_000_000
 
 
 class WordTokens:
     """Token ids of texts by a tokenizer that drops white space, remembering whole words.
 
     Words between ASCII white space do not influence each other's ids in such a tokenizer, so
-    the library encodes each new word once. The memory is emptied when it is full.
+    the library encodes each new word once, thousands in one call. The memory is emptied when it is full.
     """
 
     def __init__(self, path: str):
@@ -46,13 +46,17 @@ class WordTokens:
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         memo = self.memo
-        new = list({word for words in split for word in words if word not in memo})
+        new = list(set().union(*split).difference(memo))
         for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            found = self.tokenizer.encode_batch_fast(
-                [word.decode() for word in part], add_special_tokens=False)
-            for word, encoding in zip(part, found):
-                memo[word] = np.array(encoding.ids, "<u4").tobytes()
+            part = [word.decode() for word in new[start:start + 4096]]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(found.ids, "<u4").tobytes()
+            starts = np.fromiter((span[0] for span in found.offsets), np.int64, len(ids) // 4)
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            at = 0
+            for word, end in zip(new[start:start + 4096], np.searchsorted(starts, ends).tolist()):
+                memo[word] = ids[4 * at:4 * end]
+                at = end
         return [b"".join([memo[word] for word in words]) for words in split]
 
 
