@@ -148,3 +148,10 @@ def test_rounding(one):
     assert one([1.005, 2.675, -1.005, 0.1 + 0.2], round_half_up(X), "double") == [
         1.01, 2.68, -1.01, 0.3]
     assert math.isclose(one([1.23456], round_half_up(X, 4), "double")[0], 1.2346)
+
+
+def test_infinite_and_huge_values(one):
+    from ventis.functions.numeric import parse_number, round_half_up
+    assert one(["inf", "-Infinity", "1e999", "1e3"], parse_number("x")) == [None, None, None, 1000.0]
+    big = [2e12, 3e20, float("inf"), 1.005, None]
+    assert one(big, round_half_up(F.col("x")), "double") == [2e12, 3e20, float("inf"), 1.01, None]

@@ -224,3 +224,19 @@ def test_insert_absent_and_coverage(spark, star):
 def test_missing_slots(star):
     rows = {(r["id_estacion"], r["franja"]) for r in J.missing_slots(star).collect()}
     assert rows == {(1, at("2026-06-18 06:00")), (2, at("2026-06-18 00:00"))}
+
+
+def test_deep_pages_equal_shallow_ones_with_nulls_and_mixed_order(spark):
+    rows = [(i, None if i % 4 == 0 else i % 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, a int")
+    for order in ([("a", False), ("id", False)], [("a", True), ("id", False)], [("a", False), ("id", True)]):
+        for offset in (0, 7, 33):
+            near = [r["id"] for r in K.page(df, order, 6, offset).collect()]
+            assert near == [r["id"] for r in K.page(df, order, 6, offset, max_topk=0).collect()]
+
+
+def test_insert_absent_stores_a_repeated_key_once(spark):
+    incoming = spark.createDataFrame([("x", 2), ("x", 1), ("y", 3), (None, 4), (None, 5)], "k string, v int")
+    stored = spark.createDataFrame([("y",), (None,)], "k string")
+    rows = J.insert_absent(incoming, stored, ["k"], ["v"]).collect()
+    assert sorted((r["k"] or "", r["v"]) for r in rows) == [("", 4), ("", 5), ("x", 1)]

@@ -13,6 +13,7 @@ from ventis.functions.dates import hour_floor
 from ventis.functions.sensors import sensor_type_from_code
 from ventis.functions.text import normalize_comuna
 from ventis.operators.filters import MeasurementFilter
+from ventis.operators.ranking import first_per_key
 from ventis.schemas import DETAIL_COLUMNS, MEASUREMENT_COLUMNS, MODELING_COLUMNS, WEATHER
 from ventis.session import materialize
 from ventis.sources.star import Star
@@ -188,9 +189,20 @@ def existing_measurements(incoming: DataFrame, store: DataFrame,
     )
 
 
-def insert_absent(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows to append so that each natural key is stored once; NULL keys match each other."""
-    return null_safe_join(incoming, existing.select(*keys).distinct(), keys, "left_anti")
+def insert_absent(incoming: DataFrame, existing: DataFrame, keys: Sequence[str],
+                  order: Sequence[str] = ()) -> DataFrame:
+    """Rows to append so that each natural key is stored once.
+
+    Of rows with one key the first by ``order`` (by default all columns) is stored. A key with a
+    NULL equals no other key, as in a unique constraint, so all such rows are stored.
+    """
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    names = [*order, *(c for c in incoming.columns if c not in order)]
+    first = first_per_key(incoming.filter(known), keys, [F.col(c).asc_nulls_last() for c in names])
+    absent = first.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    return absent.select(*incoming.columns).unionByName(incoming.filter(~known))
 
 
 def region_coverage(star: Star) -> DataFrame:

@@ -31,7 +31,7 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return int(top or 0)
 
 
-def with_global_rank(df: DataFrame, order: Sequence[str], rank: str = "_rank",
+def with_global_rank(df: DataFrame, order: Sequence[str | Column], rank: str = "_rank",
                      partitions: int | None = None) -> DataFrame:
     """Dense 0-based rank over the whole frame, without a single-partition window.
 
@@ -44,7 +44,7 @@ def with_global_rank(df: DataFrame, order: Sequence[str], rank: str = "_rank",
     if partitions is None:
         by_rows = -(-df.count() // RANK_PARTITION_ROWS)
         partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), by_rows)
-    columns = _nulls_last(order)
+    columns = [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
     placed = materialize(
         df.repartitionByRange(partitions, *columns)
         .sortWithinPartitions(*columns)
@@ -125,8 +125,9 @@ def page(df: DataFrame, order: Sequence[tuple[str, bool]], limit: int, offset: i
          max_limit: int = 1000, max_topk: int = 100_000) -> DataFrame:
     """Rows ``offset`` .. ``offset + limit`` in a total order of (column, ascending) pairs.
 
-    A page near the start is a top-k. A deep page is cut by global rank, because a top-k keeps
-    all skipped rows in one task.
+    A page near the start is a top-k. A deep page is cut by global rank in the same order and
+    with the same place for NULLs (last), because a top-k keeps all skipped rows in one task. Both
+    give the same rows.
     """
     if not 1 <= limit <= max_limit:
         raise ValueError(f"limit debe estar entre 1 y {max_limit}.")
@@ -135,13 +136,8 @@ def page(df: DataFrame, order: Sequence[tuple[str, bool]], limit: int, offset: i
     columns = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in order]
     if offset + limit <= max_topk:
         return df.orderBy(*columns).offset(offset).limit(limit)
-    if any(up for _, up in order) and not all(up for _, up in order):
-        raise ValueError("Una pagina profunda necesita un orden en una sola direccion.")
-    names = [c for c, _ in order]
-    ranked = with_global_rank(df, names)
+    ranked = with_global_rank(df, columns)
     rank = F.col("_rank")
-    if not order[0][1]:
-        rank = F.lit(ranked.count() - 1) - rank
     return (
         ranked.filter((rank >= offset) & (rank < offset + limit))
         .orderBy(*columns).drop("_rank")

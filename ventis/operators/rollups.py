@@ -194,7 +194,7 @@ def episode_counts(star: Star, low_wind: float = LOW_WIND) -> DataFrame:
         F.sum("n").alias("mediciones"),
         F.sum("c").alias("episodios_criticos"),
         round_half_up(F.sum("c") * 100.0 / F.sum("n")).alias("porcentaje_critico"),
-        F.count_if(F.col("viento") < low_wind).alias("dias_baja_ventilacion"),
+        F.count_if(F.round("viento", 9) < low_wind).alias("dias_baja_ventilacion"),
     ).drop("id_comuna")
 
 
@@ -216,7 +216,7 @@ def norm_exceedance(star: Star, norms: dict[str, float] | None = None) -> DataFr
         .groupBy("contaminante", "norma_24h")
         .agg(
             F.count("media").alias("dias_estacion"),
-            F.count_if(F.col("media") > F.col("norma_24h")).alias("excedencias"),
+            F.count_if(F.round("media", 9) > F.col("norma_24h")).alias("excedencias"),
         )
     )
 

@@ -111,21 +111,28 @@ def alert_summary(forecast: DataFrame, top_n: int = 12) -> DataFrame:
 
 
 def risk_distribution(clusters: DataFrame, levels: Sequence[str] = RISK_ORDER) -> DataFrame:
-    """Rows and share per risk level in fixed order; absent levels count 0.
+    """Rows and share per risk level; absent levels of ``levels`` count 0.
 
-    The levels are literals beside the counts, so no level table has to be joined.
+    The given levels come first, in their order, then all others by name. Rows without a level
+    count in the total only.
     """
-    total = F.count("*")
-    row = clusters.agg(*[
-        F.struct(
-            F.lit(i).alias("orden"), F.lit(level).alias("nivel_riesgo"),
-            F.count_if(F.col("nivel_riesgo") == level).alias("cantidad_registros"),
-            round_half_up(
-                F.count_if(F.col("nivel_riesgo") == level) * 100.0 / F.nullif(total, F.lit(0))
-            ).alias("porcentaje"),
-        ).alias(f"l{i}") for i, level in enumerate(levels)
-    ])
-    return row.select(F.explode(F.array(*row.columns)).alias("l")).select("l.*").orderBy("orden")
+    known = F.array(*[F.lit(level) for level in levels])
+    counts = clusters.groupBy("nivel_riesgo").agg(F.count("*").alias("n"))
+    # One map of all levels: as many entries as there are levels.
+    whole = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.map_from_entries(F.collect_list(F.when(
+            F.col("nivel_riesgo").isNotNull(), F.struct("nivel_riesgo", "n")))).alias("counts"))
+    named = F.concat(known, F.array_sort(F.array_except(F.map_keys("counts"), known)))
+    share = F.col("cantidad_registros") * 100.0 / F.nullif(F.col("total"), F.lit(0))
+    return (
+        whole.select("total", "counts", F.posexplode(named).alias("orden", "nivel_riesgo"))
+        .withColumn("cantidad_registros", F.coalesce(
+            F.element_at("counts", F.col("nivel_riesgo")), F.lit(0).cast("long")))
+        .select("orden", "nivel_riesgo", "cantidad_registros",
+                round_half_up(share).alias("porcentaje"))
+        .orderBy("orden")
+    )
 
 
 def cluster_summary_from_rows(clusters: DataFrame) -> DataFrame:
@@ -142,6 +149,8 @@ def cluster_summary_from_rows(clusters: DataFrame) -> DataFrame:
 def recent_history(dataset: DataFrame, rows: int = 20) -> DataFrame:
     """Newest rows of every municipality. Map tasks keep at most ``rows`` per municipality."""
     newest = [F.desc_nulls_last("fecha_hora"), F.col("codigo_estacion").asc()]
+    if "id_monitoreo" in dataset.columns:
+        newest.append(F.col("id_monitoreo").asc())
     return first_per_key(
         dataset.filter(F.col("comuna").isNotNull()), ["comuna"], newest, rows
     ).select("comuna", "fecha_hora", "codigo_estacion", "mp25")

@@ -622,10 +622,10 @@ def load_report(spark, root):
 @query
 def upsert_absent(spark, root):
     existing = A.star(spark, root).estaciones.select(F.col("codigo_unico").alias("codigo"))
-    number = F.col("s_suppkey") * 20
+    number = (F.col("s_suppkey") - F.col("s_suppkey") % 3) * 20
     code = F.concat(F.lit("Customer#"), F.lpad(number.cast("string"), 9, "0"))
     incoming = A.table(spark, root, "supplier").select("s_suppkey", code.alias("codigo"))
-    return J.insert_absent(incoming, existing, ["codigo"])
+    return J.insert_absent(incoming, existing, ["codigo"], ["s_suppkey"])
 
 
 # --- views ------------------------------------------------------------------------------------

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F, SparkSession
 
 from ventis.functions.text import repair_labels
 from ventis.operators import features as X
@@ -40,6 +41,8 @@ def run_forecast(dataset: DataFrame, steps: int = X.TARGET_STEPS,
     """
     df = X.fill_context(repair_labels(dataset))
     require_columns(df, [c for c in MODELING_COLUMNS if c != "categoria_ica"], "regresion")
+    if not df.filter(F.col(X.TIME).isNull()).isEmpty():
+        raise ValueError(f"{X.TIME} tiene valores nulos; la serie no se puede ordenar.")
     order = [X.TIME, *(tie_break or [])]
     features = materialize(X.build_features(df, order, steps), "features")
     ranked = X.rank_in_time(X.training_rows(features), tie_break)

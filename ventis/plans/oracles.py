@@ -453,7 +453,7 @@ pares AS (SELECT 'mp25' AS c, CAST(50 AS DOUBLE) AS n, mp25 AS v FROM dias
           UNION ALL SELECT 'mp10', 130, mp10 FROM dias UNION ALL SELECT 'so2', 150, so2 FROM dias
           UNION ALL SELECT 'no2', 100, no2 FROM dias)
 SELECT c AS contaminante, n AS norma_24h, COUNT(v) AS dias_estacion,
-       COUNT(*) FILTER (WHERE v > n) AS excedencias FROM pares GROUP BY c, n""")
+       COUNT(*) FILTER (WHERE ROUND(v, 9) > n) AS excedencias FROM pares GROUP BY c, n""")
 oracle("critical_share", f"""
 SELECT region, comuna, COUNT(mp25) AS cantidad_mediciones, {rnd('AVG(mp25)')} AS mp25_promedio,
        MAX(mp25) AS mp25_maximo,
@@ -641,9 +641,9 @@ SELECT 'dry-run' AS modo, COUNT(*) FILTER (WHERE motivo IS NULL) AS total_prepar
        'exacto_api>mapeo_manual_csv>heuristico_seguro' AS modo_mapeo
 FROM carga""")
 oracle("upsert_absent", """
-SELECT s_suppkey, codigo FROM (
-  SELECT s_suppkey, 'Customer#' || lpad(CAST(s_suppkey * 20 AS VARCHAR), 9, '0') AS codigo
-  FROM supplier) WHERE codigo NOT IN (SELECT c_name FROM customer)""", base=False)
+SELECT MIN(s_suppkey) AS s_suppkey, codigo FROM (
+  SELECT s_suppkey, 'Customer#' || lpad(CAST((s_suppkey - s_suppkey % 3) * 20 AS VARCHAR), 9, '0') AS codigo
+  FROM supplier) WHERE codigo NOT IN (SELECT c_name FROM customer) GROUP BY codigo""", base=False)
 
 # --- views ---
 oracle("prediction_errors", f"""
