@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ventis.llm.common import arrow_map
 
 SPACE = "▁"
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 1_000_000
 # Spaces with the word behind them, one line end, or spaces before a line end or the text's end.
 _CHUNK = re.compile(rf"{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -55,6 +55,7 @@ class PieceCodec:
             self.finder.add_word(piece, piece)
         self.finder.make_automaton()
         self.shorter = {p: self._prefix(p) for p in self.ids}
+        self.alphabet = {p for p in self.ids if len(p) == 1}
         self.fits: dict[tuple[str, str], bool] = {}
         self.memo: dict[str, tuple[int, ...]] = {}
         self.written: dict[str, tuple[int, bytes, bytes]] = {}
@@ -120,6 +121,8 @@ class PieceCodec:
             start = end + 1 - len(piece)
             if longest[start] is None or len(piece) > len(longest[start]):
                 longest[start] = piece
+        if self.alphabet.issuperset(text):
+            return tuple(self._known(text, longest))
         out: list[int] = []
         start = 0
         for at, char in enumerate(text):
