@@ -41,6 +41,16 @@ def test_parse_date_iso(one):
         at("2026-06-15 01:00"), None, None, None, None]
 
 
+def test_parse_date_other_forms(one):
+    values = ["03/06/26 06:00", "03.06.2026", "20260603", "20260603T061500", "3 June 2026",
+              "03/06/2026 6:00 PM", "03-Jun-2026", "June 3, 2026 12:05 am", "3 Sept. 2026",
+              "31-Feb-2026", "03/06/98", "03/06/2026 13:00 PM", "3 Junk 2026"]
+    assert one(values, dates.parse_date_mixed("x")) == [
+        at("2026-06-03 06:00"), at("2026-06-03"), at("2026-06-03"), at("2026-06-03 06:15"),
+        at("2026-06-03"), at("2026-06-03 18:00"), at("2026-06-03"), at("2026-06-03 00:05"),
+        at("2026-09-03"), None, at("1998-06-03"), None, None]
+
+
 def test_parse_date_legacy_swaps_when_the_day_can_be_a_month(one):
     values = ["2026-06-01 00:00:00", "2026/06/03 12:00", "03/06/2026 06:00", "2026-06-15 06:00:00"]
     assert one(values, dates.parse_date_mixed("x", "legacy_dayfirst")) == [

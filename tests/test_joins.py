@@ -1,5 +1,5 @@
 import pytest
-from conftest import at
+from conftest import at, plan_of
 from pyspark.sql import functions as F
 
 from ventis.operators import ingest as G
@@ -222,8 +222,32 @@ def test_insert_absent_and_coverage(spark, star):
 
 
 def test_missing_slots(star):
-    rows = {(r["id_estacion"], r["franja"]) for r in J.missing_slots(star).collect()}
-    assert rows == {(1, at("2026-06-18 06:00")), (2, at("2026-06-18 00:00"))}
+    rows = {tuple(r) for r in J.missing_slots(star).select(
+        "id_estacion", "desde", "hasta", "franjas").collect()}
+    early, late = at("2026-06-18 00:00"), at("2026-06-18 06:00")
+    assert rows == {(1, late, late, 1), (2, early, early, 1)}
+    silent = star.monitoreo.filter("id_estacion = 1").unionByName(
+        star.monitoreo.filter("id_estacion = 1").withColumn(
+            "fecha_hora", F.lit("2026-06-20 13:00").cast("timestamp_ntz")))
+    rows = {(r["id_estacion"], r["franjas"]) for r in J.missing_slots(
+        type(star)(star.comunas, star.estaciones, star.industrias, silent)).collect()}
+    assert rows == {(1, 9), (2, 11)}
+    nothing = type(star)(star.comunas, star.estaciones, star.industrias, star.monitoreo.limit(0))
+    assert J.missing_slots(nothing).collect() == []
+
+
+def test_time_bounds_prune_the_folders_of_a_stored_fact(spark, star, tmp_path):
+    path = str(tmp_path / "fact")
+    write_measurements(star.monitoreo, path)
+    stored = spark.read.parquet(path)
+    where = MeasurementFilter(fecha_inicio="2026-06-18 00:00", fecha_fin="2026-06-18 23:00")
+    found = stored.filter(where.on_fact(stored))
+    assert "PartitionFilters: [isnotnull(fecha" in plan_of(found)
+    assert found.count() == star.monitoreo.filter(where.on_fact(star.monitoreo)).count()
+    known = J.existing_measurements(star.monitoreo, stored)
+    assert "dynamicpruning" in plan_of(known)
+    assert known.count() == star.monitoreo.count()
+    assert J.new_measurements(star.monitoreo, stored).count() == 0
 
 
 def test_deep_pages_equal_shallow_ones_with_nulls_and_mixed_order(spark):

@@ -93,7 +93,20 @@ def test_clean_dataset(measurements):
 def test_audit_of_a_sound_star(star):
     rows = {r["regla"]: r["violaciones"] for r in
             Q.constraint_audit(star, regions=["Maule", "Nuble"]).collect()}
-    assert len(rows) == 26 and set(rows.values()) == {0}
+    assert len(rows) == 53 and set(rows.values()) == {0}
+
+
+def test_audit_counts_absent_values_and_repeated_names_in_any_region(star):
+    spark = star.comunas.sparkSession
+    comunas = star.comunas.unionByName(spark.createDataFrame(
+        [(8, "Talca", "Nuble", None, 50.0), (None, None, "Maule", 10, 50.0)], star.comunas.schema))
+    stations = star.estaciones.withColumn("id_comuna", F.lit(None).cast("long"))
+    rows = {r["regla"]: r["violaciones"] for r in Q.constraint_audit(
+        type(star)(comunas, stations, star.industrias, star.monitoreo), ["Maule", "Nuble"]).collect()}
+    assert {k: v for k, v in rows.items() if v and k != "estaciones.nn_id_comuna"} == {
+        "comunas.uk_nombre": 1, "comunas.nn_poblacion_estimada": 1, "comunas.nn_nombre": 1,
+        "comunas.nn_id_comuna": 1}
+    assert rows["estaciones.nn_id_comuna"] == star.estaciones.count()
 
 
 STATIONS = ["RAN", "TAL", "CUR", "CHI", "SCA", "CON", "COR", "HUA"]

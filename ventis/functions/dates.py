@@ -5,8 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DAY_FIRST = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
-_YEAR_FIRST = r"^(\d{4})[/-](\d{1,2})[/-](\d{1,2})"
+_DAY_FIRST = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})(?!\d)"
+_YEAR_FIRST = r"^(\d{4})[/.-](\d{1,2})[/.-](\d{1,2})"
+# Two-digit years: 00-69 are 2000-2069, 70-99 are 1970-1999.
+_SHORT_2000 = r"^(\d{1,2})[/.-](\d{1,2})[/.-]([0-6]\d)(?!\d)"
+_SHORT_1900 = r"^(\d{1,2})[/.-](\d{1,2})[/.-]([7-9]\d)(?!\d)"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])"
+_COMPACT_TIME = r"^(\d{4})(\d{2})(\d{2})[T ]?(\d{2})(\d{2})(\d{2})$"
+# A letter other than the T and Z of ISO texts: a month's name or AM/PM.
+_SPELLED = r"(?i)[a-su-y]"
+_MONTH_FIRST = r"(?i)^([a-z]{3,9})\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(?=\d{4})"
+_AROUND_MONTH = r"^(\d{1,2})(?:st|nd|rd|th)?[\s/.-]+(\d{2})[\s/.,-]+(\d{4})"
+_CLOCK_12 = r"(?i)(?<=[T ])(0?[1-9]|1[0-2])(?::(\d{2}))?(?::(\d{2}(?:\.\d+)?))?\s*([ap])\.?m\.?$"
+# English month names and short forms.
+_MONTHS = [
+    "jan(?:uary)?", "feb(?:ruary)?", "mar(?:ch)?", "apr(?:il)?", "may", "june?", "july?",
+    "aug(?:ust)?", "sep(?:t|tember)?", "oct(?:ober)?", "nov(?:ember)?", "dec(?:ember)?",
+]
 
 # Southern-hemisphere season of each month.
 SEASONS = {
@@ -20,29 +35,54 @@ UNKNOWN_SEASON = "desconocida"
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
+def _numbered(text: Column) -> Column:
+    """A date with a month's name as day-month-year digits."""
+    text = F.regexp_replace(text, _MONTH_FIRST, "$2 $1 ")
+    for number, name in enumerate(_MONTHS, 1):
+        text = F.regexp_replace(text, rf"(?i)(?<![a-z]){name}(?![a-z])\.?", f"{number:02d}")
+    return F.regexp_replace(text, _AROUND_MONTH, "$1-$2-$3")
+
+
+def _clock_24(text: Column) -> Column:
+    """A time with AM or PM as hours from 0 to 23."""
+    part = lambda group: F.regexp_extract(text, _CLOCK_12, group)
+    digits = lambda group: F.when(part(group) == "", "00").otherwise(part(group))
+    hour = part(1).try_cast("int") % 12 + F.when(F.lower(part(4)) == "p", 12).otherwise(0)
+    shaped = F.concat(F.regexp_replace(text, _CLOCK_12, ""), F.lpad(hour.cast("string"), 2, "0"),
+                      F.lit(":"), digits(2), F.lit(":"), digits(3))
+    return F.when(text.rlike(_CLOCK_12), shaped).otherwise(text)
+
+
 def parse_date_mixed(col: Column | str, policy: str = "iso") -> Column:
     """Text in mixed formats to TIMESTAMP_NTZ, NULL when unreadable.
 
     ``iso``: year-first dates are year-month-day, others are day-first (month-first only when
     day-first is impossible). ``legacy_dayfirst``: year-first dates are tried as year-day-month
-    before year-month-day, which reproduces historical exports.
+    before year-month-day, which reproduces historical exports. Separators are ``/``, ``-`` and
+    ``.``; compact digits, two-digit years, English month names and AM/PM are read too.
     """
     if policy not in ("iso", "legacy_dayfirst"):
         raise ValueError("policy debe ser 'iso' o 'legacy_dayfirst'.")
-    text = F.trim(col)
-
-    def read(pattern: str, order: str) -> Column:
-        shaped = F.regexp_replace(text, pattern, order)
-        return F.when(text.rlike(pattern), shaped.try_cast("timestamp_ntz"))
-
-    readings = [
-        read(_YEAR_FIRST, "$1-$2-$3"),
-        read(_DAY_FIRST, "$3-$2-$1"),
-        read(_DAY_FIRST, "$3-$1-$2"),
+    shapes = [
+        (_YEAR_FIRST, "$1-$2-$3"), (_DAY_FIRST, "$3-$2-$1"), (_DAY_FIRST, "$3-$1-$2"),
+        (_SHORT_2000, "20$3-$2-$1"), (_SHORT_2000, "20$3-$1-$2"),
+        (_SHORT_1900, "19$3-$2-$1"), (_SHORT_1900, "19$3-$1-$2"),
+        (_COMPACT, "$1-$2-$3"), (_COMPACT_TIME, "$1-$2-$3 $4:$5:$6"),
     ]
     if policy == "legacy_dayfirst":
-        readings.insert(0, read(_YEAR_FIRST, "$1-$3-$2"))
-    return F.coalesce(*readings)
+        shapes.insert(0, (_YEAR_FIRST, "$1-$3-$2"))
+
+    def read(text: Column) -> Column:
+        return F.coalesce(*[
+            F.when(text.rlike(pattern),
+                   F.regexp_replace(text, pattern, order).try_cast("timestamp_ntz"))
+            for pattern, order in shapes
+        ])
+
+    text = F.trim(col)
+    # Names and AM/PM are spelled out once per text, and only in texts that have letters.
+    spelled = F.transform(F.transform(F.array(_numbered(text)), _clock_24), read)
+    return F.coalesce(read(text), F.when(text.rlike(_SPELLED), F.element_at(spelled, 1)))
 
 
 def season_of(ts: Column | str) -> Column:

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+DAY = "fecha"  # partition column of a stored fact
 ALERT_COLUMNS = ["categoria_alerta_predicha", "categoria_alerta", "categoria_predicha"]
 
 
@@ -35,16 +36,26 @@ class MeasurementFilter:
     mp25_max: float | None = None
     comuna: str | None = None
 
-    def on_fact(self) -> Column:
-        """Predicates on fact columns; they reach the Parquet scan."""
+    def on_fact(self, fact: DataFrame) -> Column:
+        """Predicates on the columns of ``fact``; they reach the Parquet scan.
+
+        Where the fact is partitioned by ``fecha``, time bounds also bound that column, so other
+        days' folders are never opened.
+        """
         ts, mp25 = F.col("fecha_hora"), F.col("mp25")
         conditions = []
         if self.id_estacion is not None:
             conditions.append(F.col("id_estacion") == self.id_estacion)
         if self.fecha_inicio:
-            conditions.append(ts >= F.lit(self.fecha_inicio).cast("timestamp_ntz"))
+            start = F.lit(self.fecha_inicio).cast("timestamp_ntz")
+            conditions.append(ts >= start)
+            if DAY in fact.columns:
+                conditions.append(F.col(DAY) >= F.to_date(start))
         if self.fecha_fin:
-            conditions.append(ts <= F.lit(self.fecha_fin).cast("timestamp_ntz"))
+            end = F.lit(self.fecha_fin).cast("timestamp_ntz")
+            conditions.append(ts <= end)
+            if DAY in fact.columns:
+                conditions.append(F.col(DAY) <= F.to_date(end))
         if self.mp25_min is not None:
             conditions.append(mp25 >= self.mp25_min)
         if self.mp25_max is not None:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ventis.functions.air import ica_category
 from ventis.functions.dates import hour_floor
 from ventis.functions.sensors import sensor_type_from_code
 from ventis.functions.text import normalize_comuna
-from ventis.operators.filters import MeasurementFilter
+from ventis.operators.filters import DAY, MeasurementFilter
 from ventis.operators.ranking import first_per_key
 from ventis.schemas import DETAIL_COLUMNS, MEASUREMENT_COLUMNS, MODELING_COLUMNS, WEATHER
 from ventis.session import materialize
@@ -45,7 +45,7 @@ def join_weather(measurements: DataFrame, weather: DataFrame) -> DataFrame:
 
 def star_join(star: Star, where: MeasurementFilter = NO_FILTER) -> DataFrame:
     """Fact with station and municipality, each filter applied on its own side first."""
-    fact = star.monitoreo.filter(where.on_fact())
+    fact = star.monitoreo.filter(where.on_fact(star.monitoreo))
     places = star.places().filter(where.on_place())
     return fact.join(places, "id_estacion")
 
@@ -76,7 +76,7 @@ def modeling_dataset(star: Star, where: MeasurementFilter = NO_FILTER,
         "indice_vulnerabilidad_respiratoria", "emision_maxima_permitida",
     )
     return (
-        star.monitoreo.filter(where.on_fact())
+        star.monitoreo.filter(where.on_fact(star.monitoreo))
         .join(places, "id_estacion")
         .withColumn("categoria_ica", ica_category(F.col("mp25")))
         .select(*keep, *MODELING_COLUMNS)
@@ -156,24 +156,24 @@ def resolve_stations(measurements: DataFrame, stations: DataFrame, mapping: Data
 
 
 def _stored_keys(store: DataFrame, incoming: DataFrame) -> DataFrame:
-    """(station, timestamp) keys of the store within the incoming time range.
+    """(station, timestamp) keys of the store on the days of the incoming rows.
 
-    The range is a scalar subquery on the incoming side: it prunes the store scan and, unlike a
-    range per station, needs no loop over stations.
+    A stray timestamp adds its own day and nothing between. On a store partitioned by ``fecha``
+    the join prunes folders when it runs; Spark broadcasts the days by their real size.
     """
-    span = incoming.agg(F.min("fecha_hora").alias("a"), F.max("fecha_hora").alias("b"))
     ts = F.col("fecha_hora")
-    return (
-        store.filter((ts >= span.select("a").scalar()) & (ts <= span.select("b").scalar()))
-        .select("id_estacion", "fecha_hora")
-    )
+    # The comparison holds for every timestamp; it tells the planner that pruning is worth while.
+    days = incoming.filter(ts >= F.lit("0001-01-01").cast("timestamp_ntz")).select(
+        F.to_date(ts).alias(DAY)).distinct()
+    dated = store if DAY in store.columns else store.withColumn(DAY, F.to_date(ts))
+    return dated.join(days, DAY, "left_semi").select("id_estacion", "fecha_hora")
 
 
 def new_measurements(incoming: DataFrame, store: DataFrame,
                      range_of: DataFrame | None = None) -> DataFrame:
     """Incoming rows whose (station, timestamp) is not stored yet.
 
-    ``range_of`` gives the time range when ``incoming`` is costly to compute: any frame that
+    ``range_of`` gives the days when ``incoming`` is costly to compute: any frame that
     holds at least its timestamps.
     """
     known = _stored_keys(store, incoming if range_of is None else range_of)
@@ -222,23 +222,35 @@ def region_coverage(star: Star) -> DataFrame:
 
 
 def missing_slots(star: Star, step_hours: int = 6) -> DataFrame:
-    """Expected slots per station, from first to last slot of the fact, with no measurement.
+    """Gaps of each station between the first and the last slot of the fact.
 
-    The calendar is exploded per station from two scalars, so there is no cross join; observed
-    slots are made distinct map-side before the shuffle.
+    Rows (id_estacion, desde, hasta, franjas): first and last missing slot and their number. A
+    station without measurements has one row over the whole range. Observed slots are made
+    distinct map-side; two marks per station, one step outside the range, close its series, so
+    a stray timestamp lengthens gaps and never multiplies rows.
     """
     if step_hours < 1 or 24 % step_hours:
         raise ValueError("step_hours debe dividir el dia.")
     ts = F.col("fecha_hora")
     hour = F.hour(ts)
     day = F.to_date(ts).cast("timestamp_ntz")
-    zero = F.lit(0)
-    slot = day + F.make_dt_interval(zero, hour - hour % step_hours)
-    seen = star.monitoreo.select("id_estacion", slot.alias("franja")).distinct()
-    span = seen.agg(F.min("franja").alias("a"), F.max("franja").alias("b"))
-    calendar = F.sequence(
-        span.select("a").scalar(), span.select("b").scalar(),
-        F.expr(f"INTERVAL {step_hours} HOURS"),
+    slot = day + F.make_dt_interval(F.lit(0), hour - hour % step_hours)
+    step = F.expr(f"INTERVAL {step_hours} HOURS")
+    seen = star.monitoreo.filter(ts.isNotNull()).select("id_estacion", slot.alias("franja")).distinct()
+    span = seen.agg((F.min("franja") - step).alias("a"), (F.max("franja") + step).alias("b")).first()
+    if span["a"] is None:
+        return seen.select("id_estacion", F.col("franja").alias("desde"),
+                           F.col("franja").alias("hasta"), F.lit(0).cast("long").alias("franjas"))
+    ids = star.estaciones.select("id_estacion")
+    marks = ids.select("id_estacion", F.explode(F.array(
+        *[F.lit(edge).cast("timestamp_ntz") for edge in span])).alias("franja"))
+    series = seen.join(ids, "id_estacion", "left_semi").unionByName(marks)
+    following = F.lead("franja").over(Window.partitionBy("id_estacion").orderBy("franja"))
+    return (
+        series.withColumn("_next", following)
+        .withColumn("franjas", F.expr(
+            f"timestampdiff(HOUR, franja, _next) DIV {step_hours} - 1"))
+        .filter(F.col("franjas") > 0)
+        .select("id_estacion", (F.col("franja") + step).alias("desde"),
+                (F.col("_next") - step).alias("hasta"), "franjas")
     )
-    expected = star.estaciones.select("id_estacion", F.explode(calendar).alias("franja"))
-    return expected.join(seen, ["id_estacion", "franja"], "left_anti")

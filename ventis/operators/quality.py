@@ -13,7 +13,9 @@ from ventis.functions.sensors import COMMUNITY, OFFICIAL
 from ventis.operators.joins import null_safe_join
 from ventis.operators.ranking import first_per_key
 from ventis.operators.statistics import add_calendar
-from ventis.schemas import MEASUREMENT_COLUMNS, POLLUTANTS, require_columns
+from ventis.schemas import (
+    COMUNAS, ESTACIONES, INDUSTRIAS, MEASUREMENT_COLUMNS, MONITOREO, POLLUTANTS, require_columns,
+)
 from ventis.session import materialize
 from ventis.sources.star import Star
 
@@ -163,16 +165,16 @@ def _checks(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
 
 
 def _repeated(df: DataFrame, table: str, name: str, keys: Sequence[str]) -> DataFrame:
-    """Rows beyond the first of each key."""
-    return df.groupBy(*keys).count().agg(
+    """Rows beyond the first of each key; a key with a NULL repeats no other."""
+    return df.dropna(subset=list(keys)).groupBy(*keys).count().agg(
         F.lit(f"{table}.{name}").alias("regla"),
         F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("violaciones"),
     )
 
 
 def _orphans(df: DataFrame, table: str, key: str, parent: DataFrame) -> DataFrame:
-    """Rows whose key has no parent; the child is counted per key before the join."""
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    """Rows whose key, unless NULL, has no parent; the child is counted per key before the join."""
+    counts = df.dropna(subset=[key]).groupBy(key).agg(F.count("*").alias("n"))
     return counts.join(parent.select(key), key, "left_anti").agg(
         F.lit(f"{table}.fk_{key}").alias("regla"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("violaciones"),
@@ -181,16 +183,18 @@ def _orphans(df: DataFrame, table: str, key: str, parent: DataFrame) -> DataFram
 
 def constraint_audit(star: Star, regions: Sequence[str] = REGIONS,
                      types: Sequence[str] = (OFFICIAL, COMMUNITY)) -> DataFrame:
-    """Violations of each key, reference, range and domain constraint of the star schema."""
+    """Violations of each key, reference, range, domain and NOT NULL constraint of the star schema."""
     c, e, i, m = star.comunas, star.estaciones, star.industrias, star.monitoreo
     domain = lambda name, values: ~F.col(name).isin(*values)
+    absent = lambda schema: {f"nn_{n}": F.col(n).isNull() for n in schema.names}
     parts = [
         _repeated(c, "comunas", "pk", ["id_comuna"]),
-        _repeated(c, "comunas", "uk_nombre", ["nombre", "region"]),
+        _repeated(c, "comunas", "uk_nombre", ["nombre"]),
         _checks(c, "comunas", {
             "poblacion": F.col("poblacion_estimada") <= 0,
             "vulnerabilidad": _outside("indice_vulnerabilidad_respiratoria", 0, 100),
             "region": domain("region", regions),
+            **absent(COMUNAS),
         }),
         _repeated(e, "estaciones", "pk", ["id_estacion"]),
         _repeated(e, "estaciones", "uk_codigo", ["codigo_unico"]),
@@ -198,17 +202,21 @@ def constraint_audit(star: Star, regions: Sequence[str] = REGIONS,
             "latitud": _outside("latitud", -90, 90),
             "longitud": _outside("longitud", -180, 180),
             "tipo": domain("tipo", types),
+            **absent(ESTACIONES),
         }),
         _orphans(e, "estaciones", "id_comuna", c),
         _repeated(i, "industrias", "pk", ["id_industria"]),
-        _repeated(i, "industrias", "uk_nombre", ["nombre", "id_comuna"]),
-        _checks(i, "industrias", {"emision": F.col("emision_maxima_permitida") < 0}),
+        _repeated(i, "industrias", "uk_nombre", ["nombre"]),
+        _checks(i, "industrias", {
+            "emision": F.col("emision_maxima_permitida") < 0, **absent(INDUSTRIAS),
+        }),
         _orphans(i, "industrias", "id_comuna", c),
         _repeated(m, "monitoreo", "pk", ["id_monitoreo"]),
         _repeated(m, "monitoreo", "uk_estacion_fecha", ["id_estacion", "fecha_hora"]),
         _checks(m, "monitoreo", {
             **{name: F.col(name) < 0 for name in (*POLLUTANTS, "velocidad_viento")},
             **{name: _outside(name, *bounds) for name, bounds in RANGES.items()},
+            **absent(MONITOREO),
         }),
         _orphans(m, "monitoreo", "id_estacion", e),
     ]

@@ -1,9 +1,8 @@
 """Global ranks and positional windows that hold under skew.
 
-A window partitioned by station sends a whole station to one task. That is the right plan while
-the largest station is small, and the wrong one when a station holds a third of the data. The
-functions here measure the largest group and switch to bounded blocks beyond a limit; both
-plans return the same rows.
+A window partitioned by station sends a whole station to one task, which fails when a station
+holds a third of the data. Windows here run over bounded blocks of consecutive ranks instead,
+whatever the size of the groups.
 """
 
 from __future__ import annotations
@@ -15,9 +14,7 @@ from pyspark.sql import functions as F
 
 from ventis.session import materialize
 
-MAX_GROUP_ROWS = 2_000_000
 BLOCK_ROWS = 200_000
-RANK_PARTITION_ROWS = 2_000_000
 _POSITION_BITS = 33
 
 
@@ -25,25 +22,18 @@ def _nulls_last(names: Sequence[str]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in names]
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group. Counts are combined map-side; one number reaches the driver."""
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
-
-
 def with_global_rank(df: DataFrame, order: Sequence[str | Column], rank: str = "_rank",
                      partitions: int | None = None) -> DataFrame:
     """Dense 0-based rank over the whole frame, without a single-partition window.
 
     Rows are range-partitioned and sorted by ``order`` (which must be a total order), written
-    once, and numbered as partition offset + position. The number of partitions follows the row
-    count. The offsets table has one row per partition, so broadcasting it is bounded by the
-    partition count, not by the data.
+    once, and numbered as partition offset + position. There are ``partitions`` of them, by default
+    the session's shuffle partitions; a sorted partition may spill. The offsets table has one row
+    per partition, so broadcasting it is bounded by the partition count, not by the data.
     """
     spark = df.sparkSession
     if partitions is None:
-        by_rows = -(-df.count() // RANK_PARTITION_ROWS)
-        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), by_rows)
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
     placed = materialize(
         df.repartitionByRange(partitions, *columns)
@@ -73,22 +63,14 @@ def positional_window(
     columns: Callable[[WindowSpec], dict[str, Column]],
     before: int = 0,
     after: int = 0,
-    max_group_rows: int = MAX_GROUP_ROWS,
     block_rows: int = BLOCK_ROWS,
-    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``before`` rows back and ``after`` rows ahead.
 
-    ``order`` must be a total order within a group. Up to ``max_group_rows`` rows per group this
-    is a plain window. Beyond, rows get a global rank by (group, order) and are windowed in
-    blocks of ``block_rows`` consecutive ranks; rows near an edge are copied into the
-    neighbouring block, so every frame is complete and no task holds a whole group.
-    ``size_of`` is a cheaper frame with at least as many rows per group, for the measurement.
+    ``order`` must be a total order within a group. Rows get a global rank by (group, order) and
+    are windowed in blocks of ``block_rows`` consecutive ranks; rows near an edge are copied into
+    the neighbouring block, so every frame is complete and no task holds a whole group.
     """
-    if largest_group(df if size_of is None else size_of, group) <= max_group_rows:
-        window = Window.partitionBy(*group).orderBy(*_nulls_last(order))
-        return df.withColumns(columns(window))
-
     if block_rows < max(before, after):
         raise ValueError("block_rows debe cubrir el marco de la ventana.")
     ranked = with_global_rank(df, [*group, *order])

@@ -29,7 +29,7 @@ def station_rollup(star: Star, where: MeasurementFilter = NO_FILTER,
                    by_day: bool = False) -> DataFrame:
     """Sum, count, maximum and row count of PM2.5 per station, with place columns."""
     keys = ["id_estacion"] + (["fecha"] if by_day else [])
-    fact = star.monitoreo.filter(where.on_fact())
+    fact = star.monitoreo.filter(where.on_fact(star.monitoreo))
     if by_day:
         fact = fact.withColumn("fecha", F.to_date("fecha_hora"))
     mp25 = F.col("mp25")

@@ -129,6 +129,20 @@ def parse_number_(spark, root):
     return _raw(spark, root, mp25=parse_number("mp25"), no2=parse_number("no2"))
 
 
+# Text forms of a time, besides those of the raw feed.
+DATE_FORMATS = ["dd/MM/yy HH:mm", "dd.MM.yyyy HH:mm", "yyyyMMdd", "d MMMM yyyy",
+                "dd/MM/yyyy h:mm a", "dd-MMM-yyyy HH:mm:ss", "MMMM d, yyyy"]
+
+
+@query
+def parse_date_formats(spark, root):
+    """Times of all events written in seven other forms and read again."""
+    forms = F.array(*[F.date_format("ts", form) for form in DATE_FORMATS])
+    text = F.get(forms, (F.col("event_id") % len(DATE_FORMATS)).cast("int"))
+    return A.table(spark, root, "events").select(
+        F.col("event_id").alias("_seq"), dates.parse_date_mixed(text).alias("fecha"))
+
+
 @query
 def parse_date(spark, root):
     return _raw(
@@ -559,7 +573,23 @@ def clean_dataset(spark, root):
 
 @query
 def constraint_audit(spark, root):
-    return Q.constraint_audit(A.star(spark, root), TEST_REGIONS, TEST_TYPES)
+    """Audit of the star with faulty copies of some rows: repeated, orphaned, absent, out of range."""
+    s = A.star(spark, root)
+
+    def with_faults(df, faulty, **changes):
+        return df.unionByName(df.filter(faulty).withColumns(
+            {name: F.expr(text).cast(df.schema[name].dataType) for name, text in changes.items()}))
+
+    return Q.constraint_audit(T.Star(
+        with_faults(s.comunas, "id_comuna % 5 = 0", id_comuna="id_comuna + 100", region="NULL",
+                    poblacion_estimada="-1", indice_vulnerabilidad_respiratoria="100.5"),
+        with_faults(s.estaciones, "id_estacion % 50 = 0", codigo_unico="NULL", tipo="'OTRO'",
+                    latitud="95", id_comuna="IF(id_estacion % 100 = 0, NULL, id_comuna + 1000)"),
+        with_faults(s.industrias, "id_industria % 10 = 0", id_industria="NULL",
+                    rubro_industrial="NULL", emision_maxima_permitida="-1"),
+        with_faults(s.monitoreo, "id_monitoreo % 100 = 0", mp10="-0.5", humedad="101",
+                    temperatura="NULL", id_estacion="IF(id_monitoreo % 200 = 0, NULL, id_estacion)"),
+    ), TEST_REGIONS, TEST_TYPES)
 
 
 def _ingest(spark, root):
@@ -743,7 +773,7 @@ def kmeans_assign(spark, root):
     df, scaling, vectors = _vectors(spark, root)
     cached = vectors.select(C.FEATURES).persist()
     try:
-        model = C.fit_kmeans(cached, k=3, starts=3)
+        model = C.fit_kmeans(cached, k=3)
     finally:
         cached.unpersist()
     labelled = C.assign_labels(model.transform(vectors).drop(C.FEATURES))
@@ -755,7 +785,7 @@ def k_sweep(spark, root):
     _, _, vectors = _vectors(spark, root)
     cached = vectors.select(C.FEATURES).persist()
     try:
-        return C.k_sweep(cached, starts=2)[0]
+        return C.k_sweep(cached)[0]
     finally:
         cached.unpersist()
 

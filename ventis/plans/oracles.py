@@ -282,6 +282,10 @@ oracle("norm_region", f"SELECT event_id AS _seq, {_REGION_NAME} AS region FROM e
 oracle("norm_comuna", f"SELECT event_id AS _seq, {_COMUNA_NAME} AS comuna FROM ev")
 oracle("parse_number", f"SELECT event_id AS _seq, {_MP25} AS mp25, {_NO2} AS no2 FROM ev")
 oracle("parse_date", f"SELECT event_id AS _seq, {_WHEN} AS iso, {_SWAPPED} AS heredada FROM ev")
+oracle("parse_date_formats", """
+SELECT event_id AS _seq, CASE WHEN event_id % 7 IN (2, 3, 6) THEN date_trunc('day', ts)
+  WHEN event_id % 7 = 5 THEN date_trunc('second', ts)
+  ELSE date_trunc('minute', ts) END::TIMESTAMP AS fecha FROM ev""")
 oracle("repair_mojibake", f"""
 SELECT event_id AS _seq, {_COMUNA_NAME} AS original, {_COMUNA_NAME} AS reparado FROM ev""")
 oracle("prepare_measurements", f"""
@@ -375,9 +379,13 @@ oracle("missing_slots", """
 , franjas AS (SELECT DISTINCT id_estacion,
     time_bucket(INTERVAL 6 HOUR, fecha_hora, TIMESTAMP '2000-01-01') AS franja FROM med),
 calendario AS (SELECT UNNEST(generate_series(MIN(franja), MAX(franja), INTERVAL 6 HOUR)) AS franja
-               FROM franjas)
-SELECT id_estacion, franja FROM est CROSS JOIN calendario
-EXCEPT SELECT id_estacion, franja FROM franjas""")
+               FROM franjas),
+faltan AS (SELECT id_estacion, franja FROM est CROSS JOIN calendario
+           EXCEPT SELECT id_estacion, franja FROM franjas),
+islas AS (SELECT *, franja - ROW_NUMBER() OVER (PARTITION BY id_estacion ORDER BY franja)
+                    * INTERVAL 6 HOUR AS isla FROM faltan)
+SELECT id_estacion, MIN(franja) AS desde, MAX(franja) AS hasta, COUNT(*) AS franjas
+FROM islas GROUP BY id_estacion, isla""")
 
 # --- rollups ---
 oracle("general_summary", f"""
@@ -567,7 +575,7 @@ FROM r WHERE i = 1""")
 
 def _repeated(table: str, name: str, keys: str, source: str) -> str:
     return (f"SELECT '{table}.{name}' AS regla, CAST(COALESCE(SUM(c - 1), 0) AS BIGINT) AS violaciones "
-            f"FROM (SELECT COUNT(*) AS c FROM {source} GROUP BY {keys})")
+            f"FROM (SELECT COUNT(*) AS c FROM {source} WHERE {' AND '.join(f'{k} IS NOT NULL' for k in keys.split(', '))} GROUP BY {keys})")
 
 
 def _check(table: str, name: str, source: str, condition: str) -> str:
@@ -576,34 +584,62 @@ def _check(table: str, name: str, source: str, condition: str) -> str:
 
 def _orphan(table: str, key: str, source: str, parent: str) -> str:
     return (f"SELECT '{table}.fk_{key}', COUNT(*) FROM {source} "
-            f"WHERE {key} NOT IN (SELECT {key} FROM {parent})")
+            f"WHERE {key} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)")
+
+
+def _absent(table: str, source: str, columns: str) -> list[str]:
+    return [_check(table, f"nn_{c}", source, f"{c} IS NULL") for c in columns.split()]
+
+
+# The star with faulty copies of some rows.
+_FAULTS = """
+, fcom AS (SELECT id_comuna, nombre, region, poblacion_estimada, indice_vulnerabilidad_respiratoria FROM com
+  UNION ALL SELECT id_comuna + 100, nombre, NULL, -1, 100.5 FROM com WHERE id_comuna % 5 = 0),
+fest AS (SELECT id_estacion, codigo_unico, tipo, latitud, longitud, id_comuna FROM est
+  UNION ALL SELECT id_estacion, NULL, 'OTRO', 95, longitud,
+    CASE WHEN id_estacion % 100 <> 0 THEN id_comuna + 1000 END FROM est WHERE id_estacion % 50 = 0),
+find AS (SELECT id_industria, nombre, 'rubro' AS rubro_industrial, emision_maxima_permitida, id_comuna FROM ind
+  UNION ALL SELECT NULL, nombre, NULL, -1, id_comuna FROM ind WHERE id_industria % 10 = 0),
+fmed AS (SELECT id_monitoreo, fecha_hora, id_estacion, mp25, mp10, so2, no2, velocidad_viento,
+    direccion_viento_grados, temperatura, humedad FROM med
+  UNION ALL SELECT id_monitoreo, fecha_hora, CASE WHEN id_monitoreo % 200 <> 0 THEN id_estacion END,
+    mp25, -0.5, so2, no2, velocidad_viento, direccion_viento_grados, NULL, 101
+  FROM med WHERE id_monitoreo % 100 = 0)
+"""
 
 
-oracle("constraint_audit", "\nUNION ALL ".join([
-    _repeated("comunas", "pk", "id_comuna", "com"),
-    _repeated("comunas", "uk_nombre", "nombre, region", "com"),
-    _check("comunas", "poblacion", "com", "poblacion_estimada <= 0"),
-    _check("comunas", "vulnerabilidad", "com",
+oracle("constraint_audit", _FAULTS + "\nUNION ALL ".join([
+    _repeated("comunas", "pk", "id_comuna", "fcom"),
+    _repeated("comunas", "uk_nombre", "nombre", "fcom"),
+    _check("comunas", "poblacion", "fcom", "poblacion_estimada <= 0"),
+    _check("comunas", "vulnerabilidad", "fcom",
            "indice_vulnerabilidad_respiratoria NOT BETWEEN 0 AND 100"),
-    _check("comunas", "region", "com", "region NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')"),
-    _repeated("estaciones", "pk", "id_estacion", "est"),
-    _repeated("estaciones", "uk_codigo", "codigo_unico", "est"),
-    _check("estaciones", "latitud", "est", "latitud NOT BETWEEN -90 AND 90"),
-    _check("estaciones", "longitud", "est", "longitud NOT BETWEEN -180 AND 180"),
-    _check("estaciones", "tipo", "est", "tipo NOT IN ('MACHINERY', 'FURNITURE', 'BUILDING')"),
-    _orphan("estaciones", "id_comuna", "est", "com"),
-    _repeated("industrias", "pk", "id_industria", "ind"),
-    _repeated("industrias", "uk_nombre", "nombre, id_comuna", "ind"),
-    _check("industrias", "emision", "ind", "emision_maxima_permitida < 0"),
-    _orphan("industrias", "id_comuna", "ind", "com"),
-    _repeated("monitoreo", "pk", "id_monitoreo", "med"),
-    _repeated("monitoreo", "uk_estacion_fecha", "id_estacion, fecha_hora", "med"),
-    *[_check("monitoreo", c, "med", f"{c} < 0") for c in (*POLLUTANTS, "velocidad_viento")],
-    _check("monitoreo", "direccion_viento_grados", "med",
+    _check("comunas", "region", "fcom", "region NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')"),
+    _repeated("estaciones", "pk", "id_estacion", "fest"),
+    _repeated("estaciones", "uk_codigo", "codigo_unico", "fest"),
+    _check("estaciones", "latitud", "fest", "latitud NOT BETWEEN -90 AND 90"),
+    _check("estaciones", "longitud", "fest", "longitud NOT BETWEEN -180 AND 180"),
+    _check("estaciones", "tipo", "fest", "tipo NOT IN ('MACHINERY', 'FURNITURE', 'BUILDING')"),
+    _orphan("estaciones", "id_comuna", "fest", "fcom"),
+    _repeated("industrias", "pk", "id_industria", "find"),
+    _repeated("industrias", "uk_nombre", "nombre", "find"),
+    _check("industrias", "emision", "find", "emision_maxima_permitida < 0"),
+    _orphan("industrias", "id_comuna", "find", "fcom"),
+    _repeated("monitoreo", "pk", "id_monitoreo", "fmed"),
+    _repeated("monitoreo", "uk_estacion_fecha", "id_estacion, fecha_hora", "fmed"),
+    *[_check("monitoreo", c, "fmed", f"{c} < 0") for c in (*POLLUTANTS, "velocidad_viento")],
+    _check("monitoreo", "direccion_viento_grados", "fmed",
            "direccion_viento_grados NOT BETWEEN 0 AND 360"),
-    _check("monitoreo", "temperatura", "med", "temperatura NOT BETWEEN -50 AND 60"),
-    _check("monitoreo", "humedad", "med", "humedad NOT BETWEEN 0 AND 100"),
-    _orphan("monitoreo", "id_estacion", "med", "est"),
+    _check("monitoreo", "temperatura", "fmed", "temperatura NOT BETWEEN -50 AND 60"),
+    _check("monitoreo", "humedad", "fmed", "humedad NOT BETWEEN 0 AND 100"),
+    _orphan("monitoreo", "id_estacion", "fmed", "fest"),
+    *_absent("comunas", "fcom", "id_comuna nombre region poblacion_estimada "
+             "indice_vulnerabilidad_respiratoria"),
+    *_absent("estaciones", "fest", "id_estacion codigo_unico tipo latitud longitud id_comuna"),
+    *_absent("industrias", "find", "id_industria nombre rubro_industrial "
+             "emision_maxima_permitida id_comuna"),
+    *_absent("monitoreo", "fmed", "id_monitoreo fecha_hora id_estacion mp25 mp10 so2 no2 "
+             "velocidad_viento direccion_viento_grados temperatura humedad"),
 ]))
 oracle("ingest_accepted", """
 SELECT indice, id_estacion, fecha_hora, mp25 FROM lote_final WHERE motivo IS NULL""")

@@ -25,7 +25,7 @@ class Segmentation:
 
 
 def run_segmentation(dataset: DataFrame, k: int = 3, seed: int = 42, starts: int = 10,
-                     low: int = 2, high: int = 6, sample: int = C.SILHOUETTE_SAMPLE,
+                     low: int = 2, high: int = 6,
                      columns: Sequence[str] = C.CLUSTER_COLUMNS) -> Segmentation:
     """Scale, sweep k, keep the model of the wanted k, label and summarise.
 
@@ -34,7 +34,7 @@ def run_segmentation(dataset: DataFrame, k: int = 3, seed: int = 42, starts: int
     scaling = C.fit_scaling(dataset, columns)
     vectors = C.assemble(dataset, scaling).select(C.FEATURES).persist()
     try:
-        sweep, models = C.k_sweep(vectors, low, high, seed, starts, sample)
+        sweep, models = C.k_sweep(vectors, low, high, seed, starts)
         model = models.get(k) or C.fit_kmeans(vectors, k, seed, starts)
     finally:
         vectors.unpersist()
