@@ -21,7 +21,8 @@ HEADLINE = [
     "validate_errors", "clean_dataset", "ingest_accepted", "ingest_rejected", "missing_slots",
     "rolling_features", "target_24h", "latest_per_station", "temporal_split", "describe_stats",
     "correlation_matrix", "prediction_errors", "citizen_status", "windowed_ica", "risk_labels",
-    "prepare_measurements", "bulk_quantiles",
+    "prepare_measurements", "bulk_quantiles", "error_histogram", "dedupe_first", "executive_kpis",
+    "load_report", "ingest_summary",
 ]
 
 
