@@ -165,6 +165,34 @@ def batch(spark, *rows):
         [(i, *[{**base, **row}[c] for c in base]) for i, row in enumerate(rows)], schema)
 
 
+def test_text_payload_names_unreadable_fields(spark, star):
+    texts = batch(spark, {}, {}, {}, {"mp10": None}).select(
+        "indice", *[F.col(c).cast("string").alias(c) for c in G.INGEST_COLUMNS])
+    at_row = {"mp25": (0, "s/d"), "fecha_hora": (1, "ayer"), "so2": (2, "Infinity")}
+    broken = texts.withColumns({
+        c: F.when(F.col("indice") == i, F.lit(w)).otherwise(F.col(c)) for c, (i, w) in at_row.items()})
+    accepted, rejected = G.ingest_batch(
+        G.typed_payload(broken), star.estaciones, star.monitoreo)
+    assert accepted.count() == 0
+    reasons = {r["indice"]: r["motivo"] for r in rejected.collect()}
+    assert reasons == {
+        0: f"mp25: {G.NUMBER_ERROR}", 1: "fecha_hora: Input should be a valid datetime",
+        2: f"so2: {G.NUMBER_ERROR}", 3: "mp10: Field required"}
+    # A payload without a column is one whose field is absent.
+    bare = G.typed_payload(texts.drop("humedad"))
+    assert G.ingest_batch(bare, star.estaciones, star.monitoreo)[1].filter(
+        F.col("motivo").contains("humedad: Field required")).count() == 4
+
+
+def test_error_details_count_each_reason(spark):
+    df = spark.createDataFrame(
+        [(0, "a: x; b: y"), (1, "a: x"), (2, G.UNKNOWN_STATION + "7"), (3, G.UNKNOWN_STATION + "8")],
+        "indice long, motivo string")
+    assert {tuple(r) for r in G.error_details(df).collect()} == {
+        ("a: x", 2), ("b: y", 1), (G.UNKNOWN_STATION, 2)}
+    assert G.error_details(df.limit(0)).count() == 0
+
+
 def test_bulk_ingest(spark, star):
     df = batch(
         spark, {"mp25": -1.0}, {}, {}, {"id_estacion": 7}, {"fecha_hora": at("2026-06-18")},

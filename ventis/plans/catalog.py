@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +27,12 @@ from ventis.operators import statistics as S
 from ventis.operators import views as V
 from ventis.operators.filters import MeasurementFilter, ViewFilter, apply_view
 from ventis.operators.prepare import prepare_measurements
-from ventis.schemas import POLLUTANTS, WEATHER
-from ventis.session import materialize
+from ventis.plans import etl
+from ventis.schemas import MODELING_COLUMNS, POLLUTANTS, WEATHER, require_columns
+from ventis.session import materialize, scratch_path
 from ventis.sources import adapter as A
 from ventis.sources import readers, star as T
-from ventis.sources.writers import payload_json
+from ventis.sources.writers import payload_json, write_table
 from ventis.streaming.windows import windowed_ica
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -649,6 +652,33 @@ def load_report(spark, root):
     return G.load_report(payload, omitted)
 
 
+def _text_batch(spark, root) -> DataFrame:
+    """The incoming batch as text, some of it unreadable."""
+    batch = _incoming(spark, root)
+    texts = batch.select("indice", *[F.col(c).cast("string").alias(c) for c in G.INGEST_COLUMNS])
+    number = F.col("no2").try_cast("double")
+    faults = {"fecha_hora": (21, "ayer"), "id_estacion": (22, "E-1"), "mp25": (23, "s/d"),
+              "temperatura": (24, "frio")}
+    return texts.withColumns({
+        name: F.when(number == k, F.lit(word)).otherwise(F.col(name))
+        for name, (k, word) in faults.items()
+    })
+
+
+@query
+def ingest_type_errors(spark, root):
+    """Rejected rows of a batch that arrives as text; unreadable values are named as such."""
+    star = A.star(spark, root)
+    batch = G.typed_payload(_text_batch(spark, root))
+    return G.ingest_batch(batch, star.estaciones, star.monitoreo)[1]
+
+
+@query
+def error_details(spark, root):
+    """How often each reason occurs among the rejected rows."""
+    return G.error_details(_ingest(spark, root)[1])
+
+
 @query
 def upsert_absent(spark, root):
     existing = A.star(spark, root).estaciones.select(F.col("codigo_unico").alias("codigo"))
@@ -828,3 +858,207 @@ def forecast_24h(spark, root):
 def feature_importance(spark, root):
     _, test, model = _fitted(spark, root, "random_forest")
     return P.feature_importance(model, model.transform(test))
+
+
+# --- models with one input, whose fit has a closed form ----------------------------------------
+
+_PLAIN = {"names": ["linear_regression"], "numeric": ["mp25"], "categorical": []}
+
+
+def _ranked(spark, root) -> DataFrame:
+    """Rows with a known target in time order, with the baseline's guess as ``base``."""
+    scored = persistence(X.add_target(series(spark, root))).withColumnRenamed(P.PREDICTION, "base")
+    return materialize(X.rank_in_time(X.training_rows(scored), ["id_monitoreo"]), "ranked")
+
+
+def _plain_model(train: DataFrame):
+    return P.fit_models(train, **_PLAIN)["linear_regression"]
+
+
+@query
+def linear_predictions(spark, root):
+    """Predictions of the newest 20 % by a line fitted on the oldest 80 %."""
+    train, test = X.temporal_split(_ranked(spark, root))
+    scored = P.predict(_plain_model(train), test)
+    return rounded(scored.select("id_monitoreo", P.PREDICTION), P.PREDICTION, digits=2)
+
+
+@query
+def linear_24h(spark, root):
+    """Forecast of every station's latest row by the same line."""
+    train, _ = X.temporal_split(_ranked(spark, root))
+    latest = P.forecast_rows(series(spark, root), ORDER).withColumn(
+        X.TARGET, F.lit(None).cast("double"))
+    report = P.forecast_report(P.predict(_plain_model(train), latest))
+    return rounded(report.select(
+        "tipo_registro", "codigo_estacion", "fecha_hora_objetivo", "mp25_actual", P.PREDICTION,
+        "categoria_predicha"), P.PREDICTION, digits=2)
+
+
+@query
+def model_choice(spark, root):
+    """Errors of the line and of the baseline on the newest rows, and which one is best."""
+    train, test = X.temporal_split(_ranked(spark, root))
+    guesses = {"linear_regression": P.predict(_plain_model(train), test),
+               "persistencia": test.withColumn(P.PREDICTION, F.col("base"))}
+    found = {name: P.metrics_dict(df) for name, df in guesses.items()}
+    best = P.best_model(found)
+    rows = [(name, m["mae"], m["rmse"], m["r2"], name == best) for name, m in found.items()]
+    out = spark.createDataFrame(rows, "modelo string, mae double, rmse double, r2 double, mejor boolean")
+    return rounded(out, "mae", "rmse", "r2")
+
+
+@query
+def cross_validation(spark, root):
+    """Errors of the line per expanding fold."""
+    ranked = _ranked(spark, root)
+    scores = P.cross_validate(ranked, ranked.count(), **_PLAIN)["linear_regression"]["folds"]
+    rows = [(s["fold"], s["mae"], s["rmse"], s["r2"]) for s in scores]
+    out = spark.createDataFrame(rows, "fold int, mae double, rmse double, r2 double")
+    return rounded(out, "mae", "rmse", "r2")
+
+
+@query
+def linear_importance(spark, root):
+    train, test = X.temporal_split(_ranked(spark, root))
+    model = _plain_model(train)
+    return rounded(P.feature_importance(model, model.transform(test)), "importance")
+
+
+@query
+def preprocessor_matrix(spark, root):
+    """Every imputed and scaled input, category positions and size of the one-hot blocks."""
+    train = materialize(X.training_rows(_features(spark, root)), "features")
+    stages = P.preprocessing_stages(train)
+    out = Pipeline(stages=stages).fit(train).transform(train)
+    blocks = F.slice(vector_to_array(P.VECTOR), len(P.NUMERIC_FEATURES) + 1, 10_000)
+    return out.select(
+        "id_monitoreo",
+        *[round_half_up(F.col(f"_n_{c}"), 4).alias(c) for c in P.NUMERIC_FEATURES],
+        *[F.col(f"_i_{c}").cast("int").alias(c) for c in P.CATEGORICAL_FEATURES],
+        F.size(blocks).alias("casillas"),
+        F.aggregate(blocks, F.lit(0.0), lambda a, b: a + b).cast("int").alias("unos"),
+    )
+
+
+@query
+def prediction_report(spark, root):
+    """Evaluation rows and 24-hour forecast in one report."""
+    columns = ["tipo_registro", "fecha_hora_base", "fecha_hora_objetivo", "codigo_estacion",
+               "mp25_real_24h", "mp25_predicho_24h", "categoria_alerta"]
+    return evaluation(spark, root).unionByName(forecast(spark, root)).select(*columns)
+
+
+@query
+def cluster_scores(spark, root):
+    """Inertia and silhouette of given clusters over all rows."""
+    df = levels(spark, root)
+    scaling = C.fit_scaling(df)
+    squares = F.lit(0.0)
+    for c in scaling.columns:
+        squares = squares + F.var_pop(c) * F.count("*")
+    scaled = C.standardize(df, scaling, keep=("cluster",))
+    inertia = scaled.groupBy("cluster").agg(squares.alias("s")).agg(F.sum("s").alias("inercia"))
+    score = C.silhouette(C.assemble(df, scaling))
+    return rounded(inertia.withColumn("silhouette", F.lit(score)), "inercia", "silhouette")
+
+
+@query
+def kmeans_properties(spark, root):
+    """What must hold for a fit: rows with the nearest centre, labels in use, and centres whose
+    original units lie within 0.05 deviations of their rows' means."""
+    df, scaling, vectors = _vectors(spark, root)
+    cached = vectors.select(C.FEATURES).persist()
+    try:
+        model = C.fit_kmeans(cached, k=3)
+    finally:
+        cached.unpersist()
+    assigned = model.transform(vectors).drop(C.FEATURES)
+    scaled = scaling.scaled()
+
+    def distance(center) -> Column:
+        total = F.lit(0.0)
+        for c, z in zip(scaling.columns, center):
+            total = total + (scaled[c] - float(z)) * (scaled[c] - float(z))
+        return total
+
+    away = F.array(*[distance(center) for center in model.clusterCenters()])
+    rows = assigned.select(
+        (F.get(away, F.col("cluster")) <= F.array_min(away) + 1e-9).alias("cerca"), "cluster")
+    counted = rows.agg(F.count("*").alias("filas"), F.count_if("cerca").alias("asignadas"))
+
+    def listed(row: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("propiedad"), F.col(c).alias("valor")) for c in row.columns]
+        return row.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+
+    summary = C.summarize_clusters(assigned)
+    means = assigned.groupBy("cluster").agg(
+        *[F.avg(c).alias(f"_m_{c}") for c in scaling.columns])
+    close = F.lit(True)
+    for c in scaling.columns:
+        close = close & (F.abs(F.col(c) - F.col(f"_m_{c}")) <= 0.05 * scaling.std[c])
+    centers = C.centroids_with_profile(C.centroids(model, scaling, df), summary)
+    checked = centers.join(means, "cluster").agg(
+        F.count_if(close).alias("centros"), F.countDistinct("nivel_riesgo").alias("etiquetas"),
+        F.sum("cantidad_registros").alias("en_perfil"))
+    return listed(counted).unionByName(listed(checked))
+
+
+# --- jobs and stored tables ---------------------------------------------------------------------
+
+@query
+def error_rows(spark, root):
+    """Row numbers in reading order and reasons of the rows that validation refuses."""
+    return etl.validate_measurements(A.faulty_measurements(spark, root))[1].select(
+        "numero_fila", "codigo_estacion", "fecha_hora", "motivo_error", "fase")
+
+
+@query
+def stored_dataset(spark, root):
+    """Modelling dataset exported as a table and read back under its contract."""
+    path = scratch_path(spark, "dataset")
+    etl.export_dataset(A.star(spark, root), path)
+    back = readers.read_labeled(spark, path, "parquet")
+    return require_columns(back, MODELING_COLUMNS, "dataset").select(*MODELING_COLUMNS)
+
+
+@query
+def stored_report(spark, root):
+    """Ranking of stations written as CSV text and read back with its types."""
+    path = scratch_path(spark, "reporte")
+    columns = ["fecha_hora", "codigo_estacion", "comuna", "region", "mp25", "no2"]
+    latest = X.latest_per_station(dataset(spark, root), ORDER).select(*columns)
+    write_table(latest, path, "csv")
+    return readers.read_labeled(spark, path, strict_dates=True).select(*columns)
+
+
+@query
+def valid_dataset(spark, root):
+    """Modelling columns from validated rows alone."""
+    valid = Q.validate(A.faulty_measurements(spark, root))[0]
+    return etl.dataset_from_valid(valid)
+
+
+@query
+def load_with_store(spark, root):
+    """Load report where every second measurement is already stored."""
+    store = A.star(spark, root).monitoreo.filter("id_monitoreo % 2 = 0")
+    payload, omitted = G.prepare_load(
+        A.unresolved_measurements(spark, root), A.station_catalog(spark, root),
+        A.station_mapping(spark, root), store)
+    return G.load_report(payload, omitted)
+
+
+@query
+def norm_columns(spark, root):
+    """Headers with blanks, capitals and gaps under their contract names."""
+    supplier = A.table(spark, root, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    return text.normalize_columns(supplier.toDF(" Id Industria", "NOMBRE ", "Emision Maxima"))
+
+
+@query
+def select_numeric(spark, root):
+    """Requested columns that exist, as numbers; unreadable text is NULL."""
+    mixed = dataset(spark, root).withColumn("mp10", F.when(
+        F.col("no2") % 4 == 0, F.lit("s/d")).otherwise(F.col("no2").cast("int").cast("string")))
+    return S.select_numeric(mixed, ["mp25", "mp10", "no_existe"])

@@ -79,8 +79,8 @@ def store_payload(result: LoadResult, stations: DataFrame, store: DataFrame,
     accepted, rejected = ingest_batch(batch, stations, store)
     accepted, rejected = materialize(accepted, "aceptadas"), materialize(rejected, "rechazadas")
     write_measurements(accepted.drop("indice"), path, mode="append")
-    # Row counts come from the files just written.
-    report = load_report(result.payload, result.omitted, False, accepted.count(), rejected.count())
+    # Counts come from the files just written.
+    report = load_report(result.payload, result.omitted, False, accepted.count(), rejected)
     return LoadResult(result.payload, result.omitted, materialize(report, "reporte")), rejected
 
 

@@ -674,7 +674,7 @@ SELECT 'dry-run' AS modo, COUNT(*) FILTER (WHERE motivo IS NULL) AS total_prepar
                   for name, reason in OMISSION_COUNTS.items())},
        CAST(0 AS BIGINT) AS insertados, CAST(0 AS BIGINT) AS errores,
        'Payload preparado sin envio a API.' AS mensaje,
-       'exacto_api>mapeo_manual_csv>heuristico_seguro' AS modo_mapeo
+       'exacto_api>mapeo_manual_csv>heuristico_seguro' AS modo_mapeo, '[]' AS detalle_errores
 FROM carga""")
 oracle("upsert_absent", """
 SELECT MIN(s_suppkey) AS s_suppkey, codigo FROM (
@@ -769,3 +769,151 @@ SELECT CAST(i - 1 AS INTEGER) AS orden, nivel_riesgo, CAST(n AS BIGINT) AS canti
        {rnd('n * CAST(100 AS DOUBLE) / SUM(n) OVER ()', 2)} AS porcentaje
 FROM (SELECT ROW_NUMBER() OVER (ORDER BY puntaje_riesgo, cluster) AS i, nivel_riesgo,
              cantidad_registros AS n FROM etiqueta)""")
+
+# --- models with one input ---
+# Oldest 80 % of the rows with a target, and the least-squares line through them.
+_SPLIT = f"""
+, con_objetivo AS (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY fecha_hora, codigo_estacion, id_monitoreo) - 1 AS posicion,
+         COUNT(*) OVER () AS n FROM objetivo WHERE mp25_24h IS NOT NULL),
+ajuste AS (
+  SELECT regr_slope(mp25_24h, mp25) AS b, regr_intercept(mp25_24h, mp25) AS a,
+         stddev_pop(mp25) AS s
+  FROM con_objetivo WHERE posicion < {_CUT}),
+prueba AS (SELECT *, a + b * mp25 AS recta FROM con_objetivo, ajuste WHERE posicion >= {_CUT})
+"""
+
+
+def _errors(guess: str, real: str = "mp25_24h") -> str:
+    return (f"{rnd(f'AVG(ABS({real} - {guess}))')} AS mae, "
+            f"{rnd(f'SQRT(AVG(({real} - {guess}) * ({real} - {guess})))')} AS rmse, "
+            f"{rnd(f'1 - AVG(({real} - {guess}) * ({real} - {guess})) / var_pop({real})')} AS r2")
+
+
+oracle("linear_predictions", f"""{_SPLIT}
+SELECT id_monitoreo, {rnd('recta', 2)} AS mp25_predicho FROM prueba""")
+oracle("linear_24h", f"""{_SPLIT}
+SELECT 'pronostico_24h' AS tipo_registro, codigo_estacion, fecha_hora_objetivo,
+       mp25 AS mp25_actual, {rnd('a + b * mp25', 2)} AS mp25_predicho,
+       {category('(a + b * mp25)')} AS categoria_predicha
+FROM objetivo, ajuste WHERE desde_ultima = 1""")
+oracle("model_choice", f"""{_SPLIT}
+, m AS (SELECT 'linear_regression' AS modelo, {_errors('recta')} FROM prueba
+        UNION ALL SELECT 'persistencia', {_errors('predicho')} FROM prueba)
+SELECT *, rmse = MIN(rmse) OVER () AS mejor FROM m""")
+oracle("cross_validation", f"""{_SPLIT}
+, b AS (SELECT CAST(fold AS INTEGER) AS fold, n - 3 * (n // 4) + (fold - 1) * (n // 4) AS desde,
+               n - 3 * (n // 4) + fold * (n // 4) AS hasta
+        FROM (SELECT UNNEST([1, 2, 3]) AS fold), (SELECT MAX(n) AS n FROM con_objetivo)),
+c AS (SELECT fold, desde, hasta, regr_slope(mp25_24h, mp25) AS p, regr_intercept(mp25_24h, mp25) AS q
+      FROM con_objetivo, b WHERE posicion < desde GROUP BY fold, desde, hasta),
+v AS (SELECT fold, mp25_24h, q + p * mp25 AS recta FROM con_objetivo, c
+      WHERE posicion >= desde AND posicion < hasta)
+SELECT fold, {_errors('recta')} FROM v GROUP BY fold""")
+oracle("linear_importance", f"""{_SPLIT}
+SELECT 'mp25' AS feature, {rnd('ABS(b) * s')} AS importance FROM ajuste""")
+_INPUTS = {
+    **{c: c for c in (*POLLUTANTS, *WEATHER, "emision_maxima_permitida",
+                      "indice_vulnerabilidad_respiratoria")},
+    "hora": "hour(fecha_hora)", "dia": "day(fecha_hora)", "mes": "month(fecha_hora)",
+    "dia_semana": "isodow(fecha_hora) - 1", "lag_1": "lag_1", "lag_2": "lag_2", "lag_3": "lag_3",
+    "delta_mp25": "mp25 - lag_1", "mp25_promedio_movil_3": "media_3", "rolling_mean_6": "media_6",
+    "rolling_mean_12": "media_12",
+    "direccion_viento_sin": "SIN(radians(direccion_viento_grados))",
+    "direccion_viento_cos": "COS(radians(direccion_viento_grados))",
+}
+_LABELS = {"tipo_sensor": "tipo_sensor", "comuna": "comuna", "region": "region",
+           "estacion_del_ano": """CASE WHEN month(fecha_hora) IN (12, 1, 2) THEN 'verano'
+             WHEN month(fecha_hora) <= 5 THEN 'otono' WHEN month(fecha_hora) <= 8 THEN 'invierno'
+             ELSE 'primavera' END"""}
+oracle("preprocessor_matrix", f"""
+, x AS (SELECT id_monitoreo, {', '.join(f'CAST({e} AS DOUBLE) AS {c}' for c, e in _INPUTS.items())},
+               {', '.join(f'{e} AS {c}' for c, e in _LABELS.items())}
+        FROM objetivo WHERE mp25_24h IS NOT NULL),
+h AS (SELECT * REPLACE ({', '.join(
+    f'COALESCE({c}, (SELECT quantile_cont({c}, 0.5) FROM x)) AS {c}' for c in _INPUTS)}) FROM x)
+SELECT id_monitoreo, {', '.join(
+    rnd(f"({c} - AVG({c}) OVER ()) / COALESCE(NULLIF(stddev_pop({c}) OVER (), 0), 1)") + f" AS {c}"
+    for c in _INPUTS)},
+    {', '.join(f"CAST(DENSE_RANK() OVER (ORDER BY {c}) - 1 AS INTEGER) AS {c}" for c in _LABELS)},
+    CAST((SELECT {' + '.join(f'COUNT(DISTINCT {c})' for c in _LABELS)} FROM h) AS INTEGER) AS casillas,
+    4 AS unos
+FROM h""")
+oracle("prediction_report", f"""
+SELECT 'evaluacion' AS tipo_registro, fecha_hora AS fecha_hora_base, fecha_hora_objetivo,
+       codigo_estacion, mp25_24h AS mp25_real_24h, predicho AS mp25_predicho_24h,
+       {category('predicho')} AS categoria_alerta FROM evaluacion
+UNION ALL SELECT 'pronostico_24h', fecha_hora, fecha_hora_objetivo, codigo_estacion, NULL, predicho,
+       categoria FROM pronostico""")
+# With squared distances, the mean distance of a point to a cluster follows from sums alone.
+oracle("cluster_scores", f"""
+, z AS (SELECT cluster, id_monitoreo, {', '.join(
+    f'({c} - AVG({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}' for c in _CLUSTER)} FROM nivel),
+g AS (SELECT cluster AS otro, COUNT(*) AS n, {', '.join(f'AVG({c}) AS m_{c}' for c in _CLUSTER)},
+             {' + '.join(f'AVG({c} * {c})' for c in _CLUSTER)} AS q FROM z GROUP BY cluster),
+d AS (SELECT id_monitoreo, cluster, otro, n,
+             {' + '.join(f'{c} * {c}' for c in _CLUSTER)} + q
+             - 2 * ({' + '.join(f'{c} * m_{c}' for c in _CLUSTER)}) AS lejos FROM z, g),
+p AS (SELECT id_monitoreo, MAX(CASE WHEN otro = cluster THEN lejos * n / (n - 1) END) AS a,
+             MIN(CASE WHEN otro <> cluster THEN lejos END) AS b FROM d GROUP BY id_monitoreo),
+e AS (SELECT {' + '.join(f'var_pop({c}) * COUNT(*)' for c in _CLUSTER)} AS s FROM z GROUP BY cluster)
+SELECT (SELECT {rnd('SUM(s)')} FROM e) AS inercia, {rnd('AVG((b - a) / GREATEST(a, b))')} AS silhouette
+FROM p""")
+oracle("kmeans_properties", """
+SELECT UNNEST(['filas', 'asignadas', 'en_perfil', 'centros', 'etiquetas']) AS propiedad,
+       UNNEST([COUNT(*), COUNT(*), COUNT(*), 3, 3]) AS valor FROM ds""")
+
+# --- jobs and stored tables ---
+oracle("error_rows", """
+SELECT numero_fila, codigo_estacion, fecha_hora, motivo_error, 'validate' AS fase
+FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY _seq) - 1 AS numero_fila FROM revisada)
+WHERE motivo_error <> ''""")
+oracle("stored_dataset", f"SELECT {', '.join(MODELING_COLUMNS)} FROM ds")
+oracle("stored_report", """
+SELECT fecha_hora, codigo_estacion, comuna, region, mp25, no2 FROM serie WHERE desde_ultima = 1""")
+oracle("valid_dataset", f"""
+SELECT fecha_hora, comuna, region, codigo_estacion,
+       CASE WHEN fuente_dato = 'oficial' THEN 'publico_oficial' ELSE 'sensor_desconocido' END
+         AS tipo_sensor, {', '.join(POLLUTANTS + WEATHER)},
+       CAST(50 AS DOUBLE) AS indice_vulnerabilidad_respiratoria,
+       CAST(200 AS DOUBLE) AS emision_maxima_permitida, {category('mp25')} AS categoria_ica
+FROM revisada WHERE motivo_error = ''""")
+oracle("load_with_store", f"""
+, final AS (SELECT CASE WHEN motivo IS NULL AND id_final IN (SELECT c_custkey FROM customer)
+    AND EXISTS (SELECT 1 FROM events e WHERE e.event_id % 2 = 0 AND e.user_id = id_final
+                AND e.ts = fecha_hora) THEN 'medicion_ya_existente' ELSE motivo END AS motivo
+  FROM carga)
+SELECT 'dry-run' AS modo, COUNT(*) FILTER (WHERE motivo IS NULL) AS total_preparadas,
+       COUNT(*) FILTER (WHERE motivo IS NULL OR motivo IN ('clima_requerido_por_api',
+                        'medicion_ya_existente')) AS total_con_id_estacion,
+       {', '.join(f"COUNT(*) FILTER (WHERE motivo = '{reason}') AS {name}"
+                  for name, reason in OMISSION_COUNTS.items())},
+       CAST(0 AS BIGINT) AS insertados, CAST(0 AS BIGINT) AS errores,
+       'Payload preparado sin envio a API.' AS mensaje,
+       'exacto_api>mapeo_manual_csv>heuristico_seguro' AS modo_mapeo, '[]' AS detalle_errores
+FROM final""")
+oracle("norm_columns", """
+SELECT s_suppkey AS id_industria, s_name AS nombre, s_acctbal AS emision_maxima FROM supplier""",
+       base=False)
+oracle("select_numeric", """
+SELECT mp25, CASE WHEN no2 % 4 <> 0 THEN TRUNC(no2) END AS mp10 FROM ds""")
+_NUMBER = "Input should be a valid number, unable to parse string as a number"
+oracle("ingest_type_errors", f"""
+, campos AS (SELECT l.*, k, concat_ws('; ',
+      CASE WHEN k = 21 THEN 'fecha_hora: Input should be a valid datetime' END,
+      CASE WHEN k = 22 THEN 'id_estacion: Input should be a valid integer, unable to parse string as an integer' END,
+      CASE WHEN k = 23 THEN 'mp25: {_NUMBER}' END, NULLIF(error, ''),
+      CASE WHEN k = 24 THEN 'temperatura: {_NUMBER}' END) AS problema
+  FROM lote_campos l JOIN ev ON event_id = indice // 2),
+turnos AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY id_estacion, fecha_hora, problema = '' AND conocida
+                                        ORDER BY indice) AS vuelta FROM campos)
+SELECT indice, CASE WHEN problema <> '' THEN problema
+    WHEN NOT conocida THEN 'No existe estacion con id_estacion=' || id_estacion
+    ELSE 'Ya existe una medicion para esa estacion y fecha_hora.' END AS motivo
+FROM turnos WHERE problema <> '' OR NOT conocida OR guardada OR vuelta > 1""")
+oracle("error_details", """
+SELECT motivo, COUNT(*) AS cantidad FROM (
+  SELECT CASE WHEN starts_with(motivo, 'No existe estacion') THEN 'No existe estacion con id_estacion='
+              ELSE motivo END AS motivo
+  FROM (SELECT UNNEST(string_split(motivo, '; ')) AS motivo FROM lote_final WHERE motivo IS NOT NULL))
+GROUP BY motivo""")

@@ -48,6 +48,11 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/ventis/{spark.sparkContext.applicationId}"
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder of this application in the shared folder."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -56,7 +61,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     size.
     """
     spark = df.sparkSession
-    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

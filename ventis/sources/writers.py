@@ -29,7 +29,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     """Parquet, CSV with header, or JSON lines."""
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # By default the CSV writer cuts timestamps to milliseconds.
+        writer = writer.option("header", True).options(
+            timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+            timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+        )
     writer.format(fmt).save(path)
 
 

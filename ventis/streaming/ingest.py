@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ventis.operators.ingest import INGEST_COLUMNS, ingest_batch, payload_rules
+from ventis.operators.ingest import (
+    INGEST_COLUMNS, UNREADABLE, ingest_batch, payload_rules, typed_payload,
+)
 from ventis.operators.quality import messages
-from ventis.schemas import POLLUTANTS, WEATHER
+from ventis.schemas import POLLUTANTS, WEATHER, all_string
 from ventis.session import materialize
 
 PAYLOAD_SCHEMA = T.StructType(
@@ -21,11 +23,15 @@ PAYLOAD_SCHEMA = T.StructType(
 
 def read_payloads(spark: SparkSession, path: str, fmt: str = "json",
                   max_files: int | None = None) -> DataFrame:
-    """Stream of payload files."""
-    reader = spark.readStream.format(fmt).schema(PAYLOAD_SCHEMA)
+    """Stream of payload files. JSON and CSV are read as text and typed, so that an unreadable
+    value is told from an absent one."""
+    as_text = fmt in ("json", "csv")
+    schema = all_string(INGEST_COLUMNS) if as_text else PAYLOAD_SCHEMA
+    reader = spark.readStream.format(fmt).schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    stream = reader.load(path)
+    return typed_payload(stream) if as_text else stream
 
 
 def valid_unique_stream(stream: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -34,7 +40,7 @@ def valid_unique_stream(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     Rules come first, so an invalid row does not block a later valid one. State is one key per
     (station, timestamp) inside the delay.
     """
-    ok = stream.filter(F.size(messages(payload_rules())) == 0)
+    ok = stream.filter(F.size(messages(payload_rules(UNREADABLE in stream.columns))) == 0)
     return (
         ok.withColumn("ts", F.col("fecha_hora").cast("timestamp"))
         .withWatermark("ts", delay)
@@ -67,7 +73,8 @@ def ingest_stream(stream: DataFrame, stations: DataFrame, store: str, rejects: s
     def one(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         numbered = materialize(
-            batch.select(*INGEST_COLUMNS, F.monotonically_increasing_id().alias("indice")), "lote"
+            batch.withColumn("indice", F.monotonically_increasing_id()).select(
+                "indice", *INGEST_COLUMNS, *[c for c in batch.columns if c == UNREADABLE]), "lote"
         )
         accepted, rejected = ingest_batch(
             numbered, stations, _stored(spark, store, batch_id)
