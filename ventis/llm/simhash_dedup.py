@@ -260,12 +260,18 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          size: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The documents without all but one of each group: that of the smallest id stays.
 
-    Of repeated rows of that id one stays. Rows with a null id are kept as they are.
+    Of repeated rows of that id one stays. Rows with a null id are kept as they are. Only rows
+    of repeated ids are grouped; all others pass the join alone, so their texts are not sorted.
     """
-    keep = (
+    keep = materialize(
         simhash_components(docs, id_col, text_col, size, radius)
-        .filter("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    )
-    keep = materialize(keep, "simhash-kept")
-    first = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return first.unionByName(docs.filter(F.col(id_col).isNull()))
+        .filter("doc_id = component_id")
+        .groupBy(F.col("doc_id").alias(id_col)).agg(F.count("*").alias("rows")),
+        "simhash-kept")
+
+    def of(condition: str) -> DataFrame:
+        return docs.join(keep.filter(condition).select(id_col), id_col, "left_semi")
+
+    repeated = of("rows > 1").dropDuplicates([id_col])
+    unnamed = docs.filter(F.col(id_col).isNull())
+    return of("rows = 1").unionByName(repeated).unionByName(unnamed)
