@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from ventis.session import materialize
 
-# Rows handed to numpy at once; texts of a slice are the only texts a task holds in Python.
+# Rows handed to numpy at once; texts of a slice are the only texts a task holds as objects.
 SLICE_ROWS = 512
+_RESIDENT: dict[tuple[str, ...], object] = {}
 
 
 def parallelism(df: DataFrame) -> int:
@@ -28,6 +29,15 @@ def parallelism(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def resident(key: tuple[str, ...], build: Callable[[], object]):
+    """The one table or model that a Python worker keeps between tasks; another key replaces it,
+    so a worker that serves several operators does not pile up their memories."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = build()
+    return _RESIDENT[key]
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):

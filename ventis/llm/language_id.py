@@ -10,14 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ventis.llm.common import SLICE_ROWS, slices
+from ventis.llm.common import SLICE_ROWS, resident, slices
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
@@ -27,8 +26,7 @@ PARTS = 16
 CHUNK_CHARS = 1 << 20
 
 
-@lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
+def _letter_table() -> np.ndarray:
     """Code point to lower-cased letter, 0 for anything else."""
     table = np.zeros(0x110000, np.uint32)
     for point in range(0x110000):
@@ -38,6 +36,10 @@ def _letters() -> np.ndarray:
     return table
 
 
+def _letters() -> np.ndarray:
+    return resident(("letters",), _letter_table)
+
+
 def ngram_buckets(text: str) -> np.ndarray:
     """Bucket of every 1-, 2- and 3-gram of a text; empty if it has no letter."""
     parts = []

@@ -11,27 +11,28 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventis.llm.common import arrow_map, utf8
+from ventis.llm.common import arrow_map, resident, utf8
 from ventis.session import materialize
 
 MAX_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 30_000
-MEMO_WORDS = 1_000_000
+# About 200 bytes a word in every Python worker.
+MEMO_WORDS = 600_000
 
 
 class WordTokens:
     """Token ids of texts by a tokenizer that drops white space, remembering whole words.
 
     Words between ASCII white space do not influence each other's ids in such a tokenizer, so
-    the library encodes each new word once, thousands in one call. The memory is emptied when it is full.
+    the library encodes each new word once, thousands in one call. The memory has two halves: when
+    the newer one is full, the older one is dropped and words still in use move over.
     """
 
     def __init__(self, path: str):
@@ -39,14 +40,20 @@ class WordTokens:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         split = [text.split() for text in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo = self.memo
-        new = list(set().union(*split).difference(memo))
+        if len(self.memo) > MEMO_WORDS // 2:
+            self.memo, self.older = {}, self.memo
+        memo, older = self.memo, self.older
+        new = []
+        for word in set().union(*split).difference(memo):
+            if word in older:
+                memo[word] = older[word]
+            else:
+                new.append(word)
         for start in range(0, len(new), 4096):
             part = [word.decode() for word in new[start:start + 4096]]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -60,9 +67,8 @@ class WordTokens:
         return [b"".join([memo[word] for word in words]) for words in split]
 
 
-@lru_cache(maxsize=2)
 def _tokens(path: str) -> WordTokens:
-    return WordTokens(path)
+    return resident(("word tokens", path), lambda: WordTokens(path))
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
