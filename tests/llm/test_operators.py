@@ -379,6 +379,18 @@ def test_surrogates_are_consistent_distinct_and_formed_alike(spark):
     assert pii.replace_entities(docs, "other").filter("doc_id = 2").first()["text"] != out[2]["text"]
 
 
+def test_addresses_before_punctuation_are_replaced(spark):
+    ends = [".", "...", ". Thanks", ")", ".I", ".2 x", ",", "", ". bo@x.org."]
+    docs = spark.createDataFrame(
+        [(i, f"write to jane@mail.example.com{end}") for i, end in enumerate(ends)]
+        + [(99, "a@" + "b." * 50_000 + "!")], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pii.replace_entities(docs, "key").collect()}
+    new = re.match(r"write to (\S+example\.net)$", out[7]["text"])[1]
+    for i, end in enumerate(ends[:-1]):
+        assert out[i]["text"] == f"write to {new}{end}" and out[i]["n_pii"] == 1, end
+    assert out[8]["n_pii"] == 2 and "org" not in out[8]["text"]
+
+
 def test_colliding_surrogates_are_drawn_again(spark):
     mentions = spark.createDataFrame([("ipv4", f"10.0.{i // 256}.{i % 256}") for i in range(3000)],
                                      "kind string, canon string")

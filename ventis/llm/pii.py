@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from ventis.session import materialize
 
 # What counts as an entity.
-EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]++\.)++\p{L}{2,}+"
+# A domain gives labels back, so that a full stop may follow it; names have at most 127 labels,
+# which also bounds the depth of the regex engine.
+EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]++\.){1,127}\p{L}{2,}+"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)"
 SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
