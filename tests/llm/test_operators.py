@@ -391,6 +391,26 @@ def test_addresses_before_punctuation_are_replaced(spark):
     assert out[8]["n_pii"] == 2 and "org" not in out[8]["text"]
 
 
+def test_cards_beside_other_numbers_are_replaced(spark):
+    card, other = "4111 1111 1111 1111", "3782-822463-10005"
+    cases = [(f"{card} 12/25", 1), (f"{card} 123", 1), (f"id 12 {card}", 1), (f"1234 {card}", 1),
+             (f"12345 {card} 99 {other}", 2), (f"{card} 123-45-6789", 2), (f"{card} 10.20.30.40", 2),
+             (f"{card} 12@x.org", 2), ("4111111111111111 123", 1), ("41111 11111 111111", 1),
+             (f"{card} 12ab", 1), ("4111 1111 1111 1112 12", 0)]
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)],
+                                 "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pii.replace_entities(docs, "key").collect()}
+    new = out[0]["text"].removesuffix(" 12/25")
+    for i, (text, n) in enumerate(cases):
+        assert out[i]["n_pii"] == n, text
+        if n == 0:
+            assert out[i]["text"] == text
+        elif card in text:
+            assert out[i]["text"] != text and new in out[i]["text"]
+    assert out[3]["text"] == f"1234 {new}" and out[10]["text"] == f"{new} 12ab"
+    assert other not in out[4]["text"] and "12345 " in out[4]["text"] and " 99 " in out[4]["text"]
+
+
 def test_colliding_surrogates_are_drawn_again(spark):
     mentions = spark.createDataFrame([("ipv4", f"10.0.{i // 256}.{i % 256}") for i in range(3000)],
                                      "kind string, canon string")

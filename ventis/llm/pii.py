@@ -6,7 +6,8 @@ from a keyed SHA-512 of kind, canonical form and attempt number. Surrogates of a
 entities are compared with each other and with the entities themselves; losers of a collision
 draw again, so different entities never share a surrogate and none turns into a real one.
 
-Kinds: e-mail, IPv4 address, phone, payment card (valid check digit only), social security
+Kinds: e-mail, IPv4 address, phone, payment card (valid check digit only, also beside other
+numbers), social security
 number, IBAN, secret (assigned passwords and tokens, access keys), and names after a title.
 A surrogate keeps letter case, digit places, punctuation and script; cards keep their first
 digit and get a valid check digit; phones keep their country code's first digit; names keep the
@@ -31,6 +32,13 @@ PHONE = (r"(?<![\p{L}\p{N}+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[
          r"|(?<![\p{L}\p{N}])\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)"
          r"|(?<![\p{L}\p{N}\-.])\d{3}([.\-])\d{3}\1\d{4}(?![\d\-])")
 CARD = r"(?<![\p{L}\p{N}\-])\d(?:[ \-]?\d){12,18}(?![\-]?[\p{L}\d])"
+# Groupings that cards are written in, at every number's start; what stands beside is left out.
+GROUPED = (r"(?<!\d)(?=(\d{4}([ \-])\d{4}\2\d{4}\2\d{4}|\d{4}([ \-])\d{6}\3\d{4,5}|\d{13,19})(?!\d))")
+# All numbers in a row that blanks or hyphens join, up to one that starts another entity.
+NUMBER = r"\d++(?![\p{L}@_%+]|\.[\p{L}\p{N}]|-\p{L})"
+JOINED = (r"[ \-](?!\d{3}-\d{2}-\d{4}(?![\d\-])|\d{3}-\d{3}-\d{4}(?![\d\-])"
+          r"|[\p{L}\p{N}._%+\-]++@)")
+NUMBERS = (rf"(?<![\p{{L}}\p{{N}}\-])(?=\d(?:[ \-]?\d){{12}}){NUMBER}(?:{JOINED}{NUMBER})*+")
 IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 ASSIGNED = r"(?<![\p{L}\p{N}])(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
 SECRET = rf"{ASSIGNED}[A-Za-z0-9_\-./+=]{{8,}}+"
@@ -42,7 +50,7 @@ WORD = r"\p{Lu}[\p{L}'’\-]++"
 TITLE = rf"(?<![\p{{L}}\p{{N}}])(?:{FEMALE}|{MALE}|{NEUTRAL}) "
 PERSON = rf"{TITLE}{WORD}(?: {WORD}){{0,2}}"
 PATTERN = "|".join(
-    f"(?:{x})" for x in (EMAIL, IPV4, SECRET, ACCESS_KEY, SSN, PHONE, IBAN, CARD, PERSON))
+    f"(?:{x})" for x in (EMAIL, IPV4, SECRET, ACCESS_KEY, SSN, PHONE, IBAN, NUMBERS, PERSON))
 # Every entity has a digit, an at sign or a title; this cheap test spares most texts the pattern.
 HINT = rf"[\d@]|{TITLE}|(?i:password|passwd|secret|token|key)\s{{0,3}}[=:]"
 
@@ -54,6 +62,7 @@ VOWELS = {"latin": "aeio", "cyrillic": "аеио", "greek": "αειο"}
 ENDINGS = {"latin": ("o", "a", "e"), "cyrillic": ("", "а", "о"), "greek": ("ος", "α", "ι")}
 MAX_ROUNDS = 40
 _SPELLED = "struct<kind:string,canon:string>"
+_PIECE = "struct<kind:string,text:string>"
 
 
 def _let(value: Column, use) -> Column:
@@ -96,6 +105,48 @@ def kind_of(found: Column) -> Column:
     )
 
 
+def _piece(kind: Column, text: Column) -> Column:
+    return F.struct(kind.cast("string").alias("kind"), text.alias("text"))
+
+
+def _cards(numbers: Column) -> Column:
+    """Pieces of numbers in a row: cards, and between them text without a kind.
+
+    Numbers in a usual grouping with a valid check digit are cards, the leftmost first; if there
+    are none, the longest runs of 13 to 19 digits with a valid check digit are.
+    """
+    none = F.lit(None)
+
+    def ranked(cards: Column, rank: int) -> Column:
+        return F.transform(cards, lambda card: F.struct(F.lit(rank).alias("rank"), card.alias("card")))
+
+    readings = F.concat(ranked(F.regexp_extract_all(numbers, F.lit(GROUPED), F.lit(1)), 1),
+                        ranked(F.regexp_extract_all(numbers, F.lit(CARD), F.lit(0)), 2))
+    valid = F.filter(readings, lambda x: luhn_sum(_digits(x["card"])) % 10 == 0)
+
+    def take(state: Column, reading: Column) -> Column:
+        card, rest = reading["card"], state["rest"]
+        at = F.position(card, rest)
+        taken = F.struct(
+            F.concat(state["done"], F.array(
+                _piece(none, F.substr(rest, F.lit(1), at - 1)), _piece(F.lit("card"), card))).alias("done"),
+            F.substr(rest, at + F.length(card)).alias("rest"), reading["rank"].alias("rank"))
+        fits = (at > 0) & (reading["rank"] <= state["rank"])
+        return F.when(fits, taken).otherwise(state)
+
+    start = F.struct(F.array().cast(f"array<{_PIECE}>").alias("done"), numbers.alias("rest"),
+                     F.lit(2).alias("rank"))
+    return F.aggregate(valid, start, take, lambda state: F.concat(
+        state["done"], F.array(_piece(none, state["rest"]))))
+
+
+def pieces(found: Column) -> Column:
+    """A match as array<struct<kind, text>>; numbers that are no card have a null kind."""
+    def by_kind(kind: Column) -> Column:
+        return F.when(kind == "card", _cards(found)).otherwise(F.array(_piece(kind, found)))
+    return _let(kind_of(found), by_kind)
+
+
 def _secret_lead(found: Column) -> Column:
     """The part of a secret that stays: variable name and quote, or the key prefix."""
     lead = F.regexp_extract(found, rf"^{ASSIGNED}", 0)
@@ -129,23 +180,17 @@ def _given_kind(title: Column) -> Column:
             .when(title.rlike(rf"^(?:{MALE}) $"), "given_m").otherwise("given_n"))
 
 
-def parts(found: Column) -> Column:
-    """Entities of a match as array<struct<kind, canon>>: one, or one per word of a name.
-
-    A number that fails the card checksum is no entity.
-    """
-    def named(kind: Column) -> Column:
-        title = _title(found)
-        words = F.split(_after(found, title), " ")
-        person = F.transform(words, lambda word, at: F.struct(
-            F.when(at == F.size(words) - 1, "surname").otherwise(_given_kind(title)).alias("kind"),
-            F.lower(word).alias("canon")))
-        canon = canonical(kind, found)
-        one = F.array(F.struct(kind.alias("kind"), canon.alias("canon")))
-        none = F.array().cast(f"array<{_SPELLED}>")
-        return (F.when(kind == "person", person)
-                .when((kind == "card") & (luhn_sum(canon) % 10 != 0), none).otherwise(one))
-    return _let(kind_of(found), named)
+def parts(piece: Column) -> Column:
+    """Entities of a piece as array<struct<kind, canon>>: one, or one per word of a name."""
+    kind, found = piece["kind"], piece["text"]
+    title = _title(found)
+    words = F.split(_after(found, title), " ")
+    person = F.transform(words, lambda word, at: F.struct(
+        F.when(at == F.size(words) - 1, "surname").otherwise(_given_kind(title)).alias("kind"),
+        F.lower(word).alias("canon")))
+    one = F.array(F.struct(kind.alias("kind"), canonical(kind, found).alias("canon")))
+    none = F.array().cast(f"array<{_SPELLED}>")
+    return F.when(kind.isNull(), none).when(kind == "person", person).otherwise(one)
 
 
 def _stream(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
@@ -235,26 +280,26 @@ def _attempt(redrawn: Column, kind: Column, canon: Column) -> Column:
     return F.coalesce(F.element_at(redrawn, F.concat_ws(":", kind, canon)), F.lit(0))
 
 
-def replacement(found: Column, redrawn: Column, key: str) -> Column:
-    """What a match becomes; ``redrawn`` maps "kind:canon" to attempts above zero."""
+def replacement(piece: Column, redrawn: Column, key: str) -> Column:
+    """What a piece becomes; ``redrawn`` maps "kind:canon" to attempts above zero."""
+    kind, found = piece["kind"], piece["text"]
+
     def one(kind: Column, mention: Column, canon: Column) -> Column:
         return write(kind, mention, canon, _attempt(redrawn, kind, canon), key)
 
-    def by_kind(kind: Column) -> Column:
-        canon = canonical(kind, found)
-        lead = _secret_lead(found)
-        title = _title(found)
-        words = F.split(_after(found, title), " ")
-        names = F.transform(words, lambda word, at: one(
-            F.when(at == F.size(words) - 1, "surname").otherwise(_given_kind(title)),
-            word, F.lower(word)))
-        return (
-            F.when(kind == "person", F.concat(title, F.array_join(names, " ")))
-            .when(kind == "secret", F.concat(lead, one(kind, _after(found, lead), canon)))
-            .when((kind == "card") & (luhn_sum(canon) % 10 != 0), found)
-            .otherwise(one(kind, found, canon))
-        )
-    return _let(kind_of(found), by_kind)
+    canon = canonical(kind, found)
+    lead = _secret_lead(found)
+    title = _title(found)
+    words = F.split(_after(found, title), " ")
+    names = F.transform(words, lambda word, at: one(
+        F.when(at == F.size(words) - 1, "surname").otherwise(_given_kind(title)),
+        word, F.lower(word)))
+    return (
+        F.when(kind.isNull(), found)
+        .when(kind == "person", F.concat(title, F.array_join(names, " ")))
+        .when(kind == "secret", F.concat(lead, one(kind, _after(found, lead), canon)))
+        .otherwise(one(kind, found, canon))
+    )
 
 
 def _matches(text: Column) -> Column:
@@ -298,7 +343,8 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id",
     kept = [c for c in docs.columns if c != "n_pii"]
     mentions = docs.select(
         F.col(id_col).alias("id"),
-        F.explode(F.flatten(F.transform(_matches(F.col(text_col)), parts))).alias("part"),
+        F.explode(F.flatten(F.transform(
+            F.flatten(F.transform(_matches(F.col(text_col)), pieces)), parts))).alias("part"),
     ).select("id", "part.*")
     chosen = attempts(mentions, key)
     redrawn = materialize(chosen.filter("attempt > 0"), "pii-redrawn")
@@ -317,12 +363,15 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id",
         source = docs.select(*kept).join(
             maps, F.col(id_col).eqNullSafe(F.col("_pii_id")), "left").drop("_pii_id").withColumn(
             "_redrawn", F.coalesce("_redrawn", none))
+    empty = F.array().cast(f"array<{_PIECE}>")
     found = source.withColumn("_found", _matches(F.col(text_col)))
-    changed = F.transform(F.col("_found"), lambda m: replacement(m, F.col("_redrawn"), key))
     gaps = F.split(F.col(text_col), PATTERN, -1)
-    joined = F.array_join(F.zip_with(gaps, changed, lambda gap, new: F.concat(
-        gap, F.coalesce(new, F.lit("")))), "")
-    text = F.when(F.size("_found") > 0, joined).otherwise(F.col(text_col))
-    count = F.size(F.filter("_found", lambda m: F.size(parts(m)) > 0))
+    found = found.withColumn("_pieces", F.when(F.size("_found") > 0, F.flatten(F.zip_with(
+        gaps, F.col("_found"), lambda gap, m: F.concat(
+            F.array(_piece(F.lit(None), gap)),
+            F.when(m.isNull(), empty).otherwise(pieces(m)))))).otherwise(empty))
+    changed = F.transform("_pieces", lambda piece: replacement(piece, F.col("_redrawn"), key))
+    text = F.when(F.size("_pieces") > 0, F.array_join(changed, "")).otherwise(F.col(text_col))
+    count = F.size(F.filter("_pieces", lambda piece: piece["kind"].isNotNull()))
     out = [text.alias(c) if c == text_col else F.col(c) for c in kept]
     return found.select(*out, F.when(F.col(text_col).isNull(), 0).otherwise(count).alias("n_pii"))
