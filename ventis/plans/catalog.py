@@ -865,7 +865,7 @@ def feature_importance(spark, root):
 _PLAIN = {"names": ["linear_regression"], "numeric": ["mp25"], "categorical": []}
 
 
-def _ranked(spark, root) -> DataFrame:
+def _ranked_targets(spark, root) -> DataFrame:
     """Rows with a known target in time order, with the baseline's guess as ``base``."""
     scored = persistence(X.add_target(series(spark, root))).withColumnRenamed(P.PREDICTION, "base")
     return materialize(X.rank_in_time(X.training_rows(scored), ["id_monitoreo"]), "ranked")
@@ -878,7 +878,7 @@ def _plain_model(train: DataFrame):
 @query
 def linear_predictions(spark, root):
     """Predictions of the newest 20 % by a line fitted on the oldest 80 %."""
-    train, test = X.temporal_split(_ranked(spark, root))
+    train, test = X.temporal_split(_ranked_targets(spark, root))
     scored = P.predict(_plain_model(train), test)
     return rounded(scored.select("id_monitoreo", P.PREDICTION), P.PREDICTION, digits=2)
 
@@ -886,7 +886,7 @@ def linear_predictions(spark, root):
 @query
 def linear_24h(spark, root):
     """Forecast of every station's latest row by the same line."""
-    train, _ = X.temporal_split(_ranked(spark, root))
+    train, _ = X.temporal_split(_ranked_targets(spark, root))
     latest = P.forecast_rows(series(spark, root), ORDER).withColumn(
         X.TARGET, F.lit(None).cast("double"))
     report = P.forecast_report(P.predict(_plain_model(train), latest))
@@ -898,7 +898,7 @@ def linear_24h(spark, root):
 @query
 def model_choice(spark, root):
     """Errors of the line and of the baseline on the newest rows, and which one is best."""
-    train, test = X.temporal_split(_ranked(spark, root))
+    train, test = X.temporal_split(_ranked_targets(spark, root))
     guesses = {"linear_regression": P.predict(_plain_model(train), test),
                "persistencia": test.withColumn(P.PREDICTION, F.col("base"))}
     found = {name: P.metrics_dict(df) for name, df in guesses.items()}
@@ -911,7 +911,7 @@ def model_choice(spark, root):
 @query
 def cross_validation(spark, root):
     """Errors of the line per expanding fold."""
-    ranked = _ranked(spark, root)
+    ranked = _ranked_targets(spark, root)
     scores = P.cross_validate(ranked, ranked.count(), **_PLAIN)["linear_regression"]["folds"]
     rows = [(s["fold"], s["mae"], s["rmse"], s["r2"]) for s in scores]
     out = spark.createDataFrame(rows, "fold int, mae double, rmse double, r2 double")
@@ -920,7 +920,7 @@ def cross_validation(spark, root):
 
 @query
 def linear_importance(spark, root):
-    train, test = X.temporal_split(_ranked(spark, root))
+    train, test = X.temporal_split(_ranked_targets(spark, root))
     model = _plain_model(train)
     return rounded(P.feature_importance(model, model.transform(test)), "importance")
 
