@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ventis.llm import (
+    collocations,
     doc_fingerprints,
     embedding_dedup,
     language_id,
@@ -95,6 +96,12 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(_documents(spark, sf_dir), CORPUS_KEY)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language: the 2000 phrases of 2 or 3 words that hang together most."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return collocations.collocations(docs.select("doc_id", "lang", "text"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -106,6 +113,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
 # Lines compare as DuckDB's ASCII strip and lower-case of A-Z; the rest has no SQL form.
@@ -130,4 +138,44 @@ ORACLES = {
                    AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
+    "op11_phrase_collocations": r"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece
+                   FROM docs),
+        runs AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+                 FROM pieces),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM runs GROUP BY lang),
+        grams AS (
+            SELECT lang, k AS size, array_to_string(w[i:i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM runs),
+                 (VALUES (1), (2), (3)) AS sizes(k)
+            WHERE i + k - 1 <= len(w)),
+        counts AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL
+                   HAVING count(*) >= 10),
+        candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2),
+        cuts AS (
+            SELECT c.lang, c.size, c.phrase, c.f AS a, k, array_to_string(w[1:k], ' ') AS head,
+                   array_to_string(w[k + 1:], ' ') AS rest
+            FROM candidates c, (VALUES (1), (2)) AS ks(k) WHERE k < size),
+        scored AS (
+            SELECT x.lang, x.size, x.phrase, x.a, x.k, h.f AS l, t.f AS r,
+                   (1000000::HUGEINT * x.a * x.a) // (h.f::HUGEINT * t.f) AS score
+            FROM cuts x JOIN counts h ON h.lang = x.lang AND h.phrase = x.head
+                        JOIN counts t ON t.lang = x.lang AND t.phrase = x.rest),
+        best AS (SELECT * FROM scored
+                 QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        longer AS (
+            SELECT lang, part, max(f) AS f FROM (
+                SELECT lang, f, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')])
+                    AS part FROM candidates WHERE size = 3) GROUP BY lang, part),
+        kept AS (SELECT b.* FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.part = b.phrase
+                 WHERE g.f IS NULL OR 100 * g.f < 50 * b.a),
+        ranked AS (SELECT *, row_number() OVER (
+                       PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT ranked.lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+        FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+    """,
 }
