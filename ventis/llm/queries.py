@@ -12,6 +12,7 @@ from ventis.llm import (
     embedding_dedup,
     language_id,
     line_dedup,
+    merkle,
     ngram_lm,
     packing,
     pii,
@@ -102,6 +103,11 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(docs.select("doc_id", "lang", "text"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its place under the root, its proof, and the root its tampered copy folds to."""
+    return merkle.manifest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -114,6 +120,7 @@ QUERIES = {
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_pii_surrogates": op10_pii_surrogates,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 # Lines compare as DuckDB's ASCII strip and lower-case of A-Z; the rest has no SQL form.
@@ -178,4 +185,75 @@ ORACLES = {
         SELECT ranked.lang, rank, phrase, a, l, r, n, score::BIGINT AS score
         FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
     """,
+    "op12_merkle_manifest": r"""
+        WITH RECURSIVE
+        crc AS (
+            SELECT doc_id, list_reduce(
+                list_prepend(4294967295, list_transform(
+                    string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                lambda s, b: list_reduce(
+                    list_prepend(xor(s, b), range(8)),
+                    lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))) AS state
+            FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+        fields AS (
+            SELECT d.doc_id, source, text,
+                   coalesce(strlen(d.doc_id::VARCHAR) || ':' || d.doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-')
+                   || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                   CASE WHEN xor(state, 4294967295) % 2 = 0 THEN replace(text, chr(10), '')
+                        ELSE text END AS bent
+            FROM documents d LEFT JOIN crc ON crc.doc_id = d.doc_id),
+        leaves AS (
+            SELECT doc_id, coalesce(source, '') AS s, source IS NULL AS without,
+                   sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   sha256(head || coalesce(strlen(bent) || ':' || bent, '-')) AS folded
+            FROM fields),
+        placed AS (
+            SELECT doc_id, leaf, folded,
+                   dense_rank() OVER (ORDER BY without DESC, s) - 1 AS tree,
+                   row_number() OVER (PARTITION BY without, s ORDER BY doc_id NULLS FIRST, leaf) - 1
+                       AS pos,
+                   count(*) OVER (PARTITION BY without, s) AS n
+            FROM leaves),
+        inner_tree AS (
+            SELECT tree, 0 AS level, pos, n, leaf AS h FROM placed
+            UNION ALL
+            SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos))
+            FROM inner_tree WHERE n > 1 GROUP BY tree, level, pos // 3, n),
+        subroots AS (SELECT tree, h FROM inner_tree WHERE n = 1),
+        outer_tree AS (
+            SELECT 0 AS level, tree AS pos, count(*) OVER () AS n, h FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos))
+            FROM outer_tree WHERE n > 1 GROUP BY level, pos // 3, n),
+        root AS (SELECT h FROM outer_tree WHERE n = 1),
+        runs AS (
+            SELECT tree, level, pos // 3 AS run, list(h ORDER BY pos) AS kids FROM inner_tree
+            WHERE n > 1 GROUP BY tree, level, pos // 3, n
+            UNION ALL
+            SELECT -1, level, pos // 3, list(h ORDER BY pos) FROM outer_tree
+            WHERE n > 1 GROUP BY level, pos // 3, n),
+        climb AS (
+            SELECT doc_id, leaf, tree, tree AS own, 0 AS level, pos, n, folded, '' AS proof
+            FROM placed
+            UNION ALL
+            SELECT * FROM (
+                SELECT c.doc_id, c.leaf, r.tree, c.own, c.level + 1, c.pos // 3, (c.n + 2) // 3,
+                       sha256(array_to_string(list_transform(
+                           r.kids, lambda h, i: if(i = c.pos % 3 + 1, c.folded, h)), '')),
+                       c.proof || array_to_string(list_filter(
+                           r.kids, lambda h, i: i <> c.pos % 3 + 1), '')
+                FROM climb c JOIN runs r
+                  ON r.tree = c.tree AND r.level = c.level AND r.run = c.pos // 3
+                WHERE c.n > 1
+                UNION ALL
+                SELECT c.doc_id, c.leaf, -1, c.own, 0, c.own, s.n, c.folded, c.proof
+                FROM climb c, (SELECT count(*) AS n FROM subroots) s
+                WHERE c.n = 1 AND c.tree >= 0))
+        SELECT c.doc_id, c.leaf, s.h AS subroot, root.h AS root, sha256(c.proof) AS proof_sha256,
+               c.folded AS folded_root, c.folded = root.h AS verified
+        FROM climb c JOIN subroots s ON s.tree = c.own, root
+        WHERE c.n = 1 AND c.tree = -1
+    """,
 }
