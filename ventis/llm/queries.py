@@ -11,6 +11,7 @@ from ventis.llm import (
     doc_fingerprints,
     embedding_dedup,
     language_id,
+    licenses,
     line_dedup,
     merkle,
     ngram_lm,
@@ -108,6 +109,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: places of the base phrases, labels of the notices found, and the best share."""
+    return licenses.scan_licenses(_documents(spark, sf_dir)).drop("places")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -121,6 +127,7 @@ QUERIES = {
     "op10_pii_surrogates": op10_pii_surrogates,
     "op11_phrase_collocations": op11_phrase_collocations,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_license_scan": op13_license_scan,
 }
 
 # Lines compare as DuckDB's ASCII strip and lower-case of A-Z; the rest has no SQL form.
@@ -256,4 +263,87 @@ ORACLES = {
         FROM climb c JOIN subroots s ON s.tree = c.own, root
         WHERE c.n = 1 AND c.tree = -1
     """,
+    "op13_license_scan": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id,
+                   list_filter(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+            FROM documents),
+        notices(label, base, notice, key) AS (VALUES
+            ('cc-by', true, 'cc by', 'cc by'),
+            ('gpl', true, 'general public license', 'general public license'),
+            ('reserved', true, 'all rights reserved', 'all rights reserved'),
+            ('agpl-3.0', false, 'gnu affero general public license version 3',
+             'gnu affero general public license'),
+            ('apache-2.0', false, 'licensed under the apache license version 2 0',
+             'apache license version 2 0'),
+            ('apache-2.0', false, 'you may not use this file except in compliance with the license',
+             'except in compliance with the license'),
+            ('bsd', false, 'redistribution and use in source and binary forms with or without '
+             || 'modification are permitted provided that the following conditions are met',
+             'redistribution and use in source and binary forms'),
+            ('cc-by-4.0', false, 'licensed under cc by 4 0', 'cc by 4 0'),
+            ('cc-by-nc-4.0', false, 'licensed under cc by nc 4 0', 'cc by nc 4 0'),
+            ('cc-by-sa-4.0', false, 'licensed under cc by sa 4 0', 'cc by sa 4 0'),
+            ('cc0-1.0', false, 'to the extent possible under law the author has waived all '
+             || 'copyright and related or neighboring rights to this work',
+             'waived all copyright and related or neighboring rights'),
+            ('gpl-2.0', false, 'licensed under the gnu general public license version 2',
+             'gnu general public license version 2'),
+            ('gpl-3.0', false, 'licensed under the gnu general public license version 3',
+             'gnu general public license version 3'),
+            ('isc', false, 'permission to use copy modify and or distribute this software for any '
+             || 'purpose with or without fee is hereby granted',
+             'for any purpose with or without fee is hereby granted'),
+            ('lgpl', false, 'gnu lesser general public license', 'lesser general public license'),
+            ('mit', false, 'released under the mit license', 'mit license'),
+            ('mit', false, 'permission is hereby granted free of charge to any person obtaining a '
+             || 'copy of this software and associated documentation files to deal in the software '
+             || 'without restriction', 'permission is hereby granted free of charge'),
+            ('mpl-2.0', false, 'this source code form is subject to the terms of the mozilla '
+             || 'public license v 2 0', 'mozilla public license'),
+            ('unlicense', false, 'this is free and unencumbered software released into the public '
+             || 'domain', 'free and unencumbered software')),
+        known AS (
+            SELECT row_number() OVER () AS t, label, base, string_split(notice, ' ') AS nw,
+                   string_split(key, ' ') AS kw,
+                   len(string_split(split_part(' ' || notice || ' ', ' ' || key || ' ', 1), ' ')) - 1
+                       AS key_at
+            FROM notices),
+        template_words AS (SELECT t, unnest(nw) AS word, unnest(range(len(nw))) AS i FROM known),
+        held AS (
+            SELECT word, count(*) AS df
+            FROM (SELECT row, unnest(list_distinct(w)) AS word FROM docs)
+            WHERE word IN (SELECT word FROM template_words) GROUP BY word),
+        weights AS (
+            SELECT t, i, tw.word, ln(1 + (SELECT count(*) FROM docs) / (1 + coalesce(df, 0))) AS idf
+            FROM template_words tw LEFT JOIN held ON held.word = tw.word),
+        mass AS (SELECT t, sum(idf) AS mass FROM weights GROUP BY t),
+        spots AS (SELECT row, unnest(w) AS word, unnest(range(len(w))) AS spot FROM docs),
+        starts AS (
+            SELECT d.row, d.w, k.*, s.spot FROM spots s JOIN known k ON k.kw[1] = s.word
+            JOIN docs d ON d.row = s.row
+            WHERE d.w[s.spot + 1:s.spot + len(k.kw)] = k.kw),
+        shares AS (
+            SELECT s.row, s.label, s.base, s.spot,
+                   sum(CASE WHEN s.spot - s.key_at + x.i >= 0
+                             AND s.w[greatest(s.spot - s.key_at + x.i, 0) + 1] = x.word
+                            THEN x.idf ELSE 0 END) / any_value(m.mass) AS share
+            FROM starts s JOIN weights x ON x.t = s.t JOIN mass m ON m.t = s.t
+            GROUP BY s.row, s.label, s.base, s.spot, s.t),
+        found AS (SELECT * FROM shares WHERE base OR share >= 0.8),
+        summed AS (
+            SELECT row, count(*) FILTER (WHERE base) AS n_base,
+                   min(spot) FILTER (WHERE base) AS first_word,
+                   max(spot) FILTER (WHERE base) AS last_word,
+                   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+                   string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+            FROM found GROUP BY row)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+               coalesce(least(round(score, 6), 1.0), 0.0) AS score
+        FROM docs LEFT JOIN summed ON summed.row = docs.row
+    """,
 }
