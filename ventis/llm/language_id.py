@@ -24,6 +24,8 @@ SMOOTHING = 0.5
 UNDETERMINED = "und"
 PARTS = 16
 CHUNK_CHARS = 1 << 20
+# Rows whose n-grams are counted together: one pass over the buckets for all of them.
+TRAIN_ROWS = 128
 
 
 def _letter_table() -> np.ndarray:
@@ -97,12 +99,15 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     def count(batches):
         counts: dict[str, np.ndarray] = {}
         rows: dict[str, int] = {}
-        for batch in slices(batches, SLICE_ROWS):
+        for batch in slices(batches, TRAIN_ROWS):
+            grams: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                grams.setdefault(lang, []).append(ngram_buckets(text or ""))
+                rows[lang] = rows.get(lang, 0) + 1
+            for lang, parts in grams.items():
                 if lang not in counts:
                     counts[lang] = np.zeros(BUCKETS, np.int64)
-                counts[lang] += np.bincount(ngram_buckets(text or ""), minlength=BUCKETS)
-                rows[lang] = rows.get(lang, 0) + 1
+                counts[lang] += np.bincount(np.concatenate(parts), minlength=BUCKETS)
         for lang, sums in counts.items():
             yield pa.RecordBatch.from_arrays([
                 pa.array([lang] * PARTS), pa.array(range(PARTS), pa.int32()),
@@ -138,7 +143,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All rows with ``lang_pred`` and ``score``, the posterior probability of that language.
 
-    A text that is null or has no letter gets ``und`` and score 0.
+    A text that is null or has no letter gets ``und`` and score 0. Repeated rows get equal results,
+    an empty table gives no row; input columns of any other name are carried as they are.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -155,8 +161,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 ["lang_pred", "score"])
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*kept, result(F.col(text_col)).alias("_found")).select(
-        *kept, "_found.lang_pred", "_found.score")
+    row = F.struct(*(F.col(c).alias(str(at)) for at, c in enumerate(kept))) if kept else F.lit(None)
+    return docs.select(row.alias("row"), result(F.col(text_col)).alias("found")).select(
+        *(F.col("row")[str(at)].alias(c) for at, c in enumerate(kept)),
+        "found.lang_pred", "found.score")
 
 
 def fold(id_col: str = "doc_id", parts: int = 5) -> Column:

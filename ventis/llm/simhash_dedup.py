@@ -25,9 +25,6 @@ from ventis.session import materialize
 SHINGLE_WORDS = 4
 RADIUS = 4
 BITS = 64
-# For removal: documents are near copies from this Jaccard similarity of 5-word shingles on; the
-# radius only finds candidates.
-COPY_WORDS, COPY_RADIUS, SIMILARITY = 5, 14, 0.8
 # The sample only places the cuts of the tree; every fingerprint is filed and compared.
 TREE_SAMPLE = 8192
 SHARD_FINGERPRINTS = 20_000
@@ -259,123 +256,15 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .alias("component_id"))
 
 
-def _candidates(nodes: DataFrame, radius: int, every: bool, sample: int = TREE_SAMPLE,
-                shard_size: int = SHARD_FINGERPRINTS) -> DataFrame:
-    """Pairs (a long, b long) of nodes (node, fp, root) within ``radius`` and of different roots:
-    ``every`` one, or only each node's nearest and first in each task."""
-    drawn = nodes.orderBy(F.xxhash64("fp")).limit(sample).select("fp").collect()
-    points = np.array([row["fp"] for row in drawn], np.int64).view(np.uint64)
-    tree, _ = build_tree(points, max(parallelism(nodes) // 4, -(-nodes.count() // shard_size), 1))
-
-    def visit(batch: pa.RecordBatch) -> pa.RecordBatch:
-        leaf, index, home = route(tree, batch.column(1).to_numpy().view(np.uint64), radius)
-        at = pa.array(index)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(leaf), pa.array(home), *(batch.column(k).take(at) for k in range(3))],
-            ["leaf", "home", "node", "fp", "root"])
-
-    def pair(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        home = table["home"].to_numpy()
-        order = np.lexsort((table["node"].to_numpy(), ~home))
-        own = int(home.sum())
-        ids, roots = table["node"].to_numpy()[order], table["root"].to_numpy()[order]
-        fps = table["fp"].to_numpy()[order].view(np.uint64)
-        none = np.iinfo(np.int64).max
-        near, first = np.full(len(ids), none), np.full(len(ids), none)
-        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for other, shift, same in ((fps[:own], 0, True), (fps[own:], own, False)):
-            for i, j in near_pairs(fps[:own], other, radius, same):
-                j = j + shift
-                apart = roots[i] != roots[j]
-                i, j = i[apart], j[apart]
-                if every:
-                    left.append(i)
-                    right.append(j)
-                    continue
-                bits = popcount(fps[i] ^ fps[j]).astype(np.int64) << 32
-                np.minimum.at(near, j, bits | i)
-                np.minimum.at(near, i, bits | j)
-                np.minimum.at(first, j, i)
-        for best in (near, first):
-            at = np.flatnonzero(best < none)
-            left.append(at)
-            right.append(best[at] & 0xFFFFFFFF)
-        a, b = ids[np.concatenate(left)], ids[np.concatenate(right)]
-        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
-
-    placed = arrow_map(nodes.select("node", "fp", "root"), visit,
-                       "leaf long, home boolean, node long, fp long, root long", rows=1 << 16)
-    return placed.groupBy("leaf").applyInArrow(pair, "a long, b long").distinct()
-
-
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       size: int = COPY_WORDS, radius: int = COPY_RADIUS,
-                       similarity: float = SIMILARITY) -> DataFrame:
-    """Rows (doc_id, component_id), one per document with an id.
-
-    Documents link if their sets of shingles have a Jaccard similarity of at least
-    ``similarity``; candidates are those within ``radius`` bits, and each link is verified on the
-    sets. First only each node's nearest and first candidates are verified, then every candidate
-    pair that these links leave apart. Texts without words are copies of each other.
-    """
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes = [shingle_hashes(text, size) for text in utf8(batch.column(1))]
-        fps = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
-        sets = [np.unique(h) for h in hashes]
-        digests = [xxhash.xxh3_128_hexdigest(h.tobytes()) for h in sets]
-        ends = np.concatenate(([0], np.cumsum([len(h) for h in sets]))).astype(np.int32)
-        values = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(fps), pa.array(digests, pa.string()),
-             pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-            ["doc_id", "fp", "digest", "shingles"])
-
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = materialize(arrow_map(source.filter("doc_id IS NOT NULL"), run,
-                                  "doc_id long, fp long, digest string, shingles array<long>"),
-                        "simhash-sets")
-    # An id with several texts is one node for each; all of them are of its component.
-    classes = found.groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.min_by("fp", "doc_id").alias("fp"))
-    nodes = materialize(classes.withColumn("root", F.col("node")), "simhash-nodes")
-    held = found.join(nodes.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"])
-    held = held.select(F.col("doc_id").alias("node"), "digest", "shingles").dropDuplicates(
-        ["node", "digest"])
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        left = held.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-        right = held.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        shared = F.size(F.array_intersect("x", "y"))
-        like = shared >= similarity * (F.size("x") + F.size("y") - shared)
-        return materialize(pairs.join(left, "a").join(right, "b").filter(like)
-                           .select("a", "b").distinct(), "simhash-verified")
-
-    def rooted(links: DataFrame) -> DataFrame:
-        return components(links, "simhash-links")
-
-    same_id = found.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select(
-        F.col("doc_id").alias("a"), F.col("node").alias("b")).filter("a <> b").distinct()
-    links = verified(materialize(_candidates(nodes, radius, False), "simhash-near"))
-    apart = materialize(
-        nodes.drop("root").join(rooted(links.unionByName(same_id)), "node", "left")
-        .select("node", "fp", F.coalesce("root", "node").alias("root")), "simhash-apart")
-    links = links.unionByName(verified(materialize(_candidates(apart, radius, True), "simhash-rest")))
-    roots = rooted(links.unionByName(same_id)).withColumnRenamed("node", "doc_id")
-    return found.select("doc_id").join(roots, "doc_id", "left").select(
-        "doc_id", F.coalesce("root", "doc_id").alias("component_id"))
-
-
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         size: int = COPY_WORDS, radius: int = COPY_RADIUS,
-                         similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without all but one of each group: that of the smallest id stays.
+                         size: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """The documents without all but one of each component: that of the smallest id stays.
 
     Of repeated rows of that id one stays. Rows with a null id are kept as they are. Only rows
     of repeated ids are grouped; all others pass the join alone, so their texts are not sorted.
     """
     keep = materialize(
-        similar_components(docs, id_col, text_col, size, radius, similarity)
+        simhash_components(docs, id_col, text_col, size, radius)
         .filter("doc_id = component_id")
         .groupBy(F.col("doc_id").alias(id_col)).agg(F.count("*").alias("rows")),
         "simhash-kept")
