@@ -15,6 +15,11 @@ from ventis.llm.queries import CORPUS_KEY, WORD_TOKENIZER
 from ventis.session import materialize
 
 
+# A text is rejected if no language has this posterior: it reads like several. Texts of a dozen
+# letters or more have a posterior near 1, so clean documents stay.
+MIN_POSTERIOR = 0.5
+
+
 def _with_length(docs: DataFrame) -> DataFrame:
     """``n_chars`` as the length of the text, where both are known."""
     return docs.withColumn("n_chars", F.when(
@@ -22,23 +27,30 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without a letter (or null) go.
+    """Documents whose language can be told.
 
-    A missing label is filled with the prediction; given labels stay.
+    Texts that are null or without a letter go, and those whose best language has a posterior
+    below MIN_POSTERIOR. A missing label is filled with the prediction; given labels stay. Where
+    no document has a label there is nothing to learn from, and all documents stay as they are.
     """
     model = language_id.train(docs)
-    found = language_id.predict(docs, model).filter(
-        F.col("lang_pred") != language_id.UNDETERMINED)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    if not model.languages:
+        return docs
+    told = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_POSTERIOR)
+    columns = [F.coalesce("lang", "lang_pred").alias(c) if c == "lang" else F.col(c)
+               for c in docs.columns]
+    return language_id.predict(docs, model).filter(told).select(*columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that a later document keeps."""
+    """All documents, without the lines that a later document keeps; a null text becomes empty."""
     return _with_length(line_dedup.dedup_lines(docs)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-duplicates."""
+    """One document, that of the smallest id, of each component of near-duplicates: SimHash of
+    4-word shingles, linked at up to 4 differing bits. Texts without words are copies of each
+    other; rows without an id stay."""
     return simhash_dedup.drop_near_duplicates(docs).select(*docs.columns)
 
 
