@@ -193,4 +193,4 @@ def scan_licenses(docs: DataFrame, known: list[Template] | None = None, text_col
         F.array_min(F.col("base")["at"]).cast("long").alias("first_word"),
         F.array_max(F.col("base")["at"]).cast("long").alias("last_word"),
         named(F.col("base")).alias("base_labels"), named(F.col("places")).alias("labels"),
-        F.coalesce(F.least(best, F.lit(1.0)), F.lit(0.0)).alias("score"), "places")
+        F.coalesce(best, F.lit(0.0)).alias("score"), "places")

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ventis.llm.common import parallelism
 from ventis.session import materialize
 
 # What counts as an entity.
@@ -313,12 +314,15 @@ def attempts(mentioned: DataFrame, key: str) -> DataFrame:
     In each round, of the entities that drew one surrogate the first by canonical form keeps it;
     the others, and any whose surrogate is itself an entity, draw again.
     """
+    width = parallelism(mentioned)
     table = materialize(mentioned.select("kind", "canon").distinct()
                         .withColumn("attempt", F.lit(0)), "pii-entities")
     real = table.select("kind", F.col("canon").alias("drawn"))
     for _ in range(MAX_ROUNDS):
-        drawn = table.withColumn("drawn", F.lower(
-            write(F.col("kind"), F.col("canon"), F.col("canon"), F.col("attempt"), key)))
+        # Drawing costs far more than reading: the entities are dealt out and drawn once.
+        drawn = materialize(table.repartition(width, "kind", "canon").withColumn("drawn", F.lower(
+            write(F.col("kind"), F.col("canon"), F.col("canon"), F.col("attempt"), key))),
+            "pii-drawn")
         first = drawn.groupBy("kind", "drawn").agg(F.min("canon").alias("first"))
         taken = real.withColumn("taken", F.lit(True))
         judged = drawn.join(first, ["kind", "drawn"]).join(taken, ["kind", "drawn"], "left")
@@ -349,29 +353,31 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id",
     chosen = attempts(mentions, key)
     redrawn = materialize(chosen.filter("attempt > 0"), "pii-redrawn")
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
+    # The row travels as one column, so none of its names can clash with those used here.
+    source = docs.select(
+        F.struct(*(F.col(c).alias(str(at)) for at, c in enumerate(kept))).alias("row"),
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     if redrawn.isEmpty():
-        source = docs.select(*kept, none.alias("_redrawn"))
+        source = source.withColumn("redrawn", none)
     else:
         # One map per document that mentions such an entity; few, but never assumed to be few.
         maps = materialize(
             mentions.join(redrawn, ["kind", "canon"]).distinct().groupBy("id").agg(
                 F.map_from_entries(F.collect_list(F.struct(
-                    F.concat_ws(":", "kind", "canon"), "attempt"))).alias("_redrawn")),
-            "pii-maps")
-        # Clashing names cannot arise: the map's columns are joined under names of their own.
-        maps = maps.select(F.col("id").alias("_pii_id"), "_redrawn")
-        source = docs.select(*kept).join(
-            maps, F.col(id_col).eqNullSafe(F.col("_pii_id")), "left").drop("_pii_id").withColumn(
-            "_redrawn", F.coalesce("_redrawn", none))
+                    F.concat_ws(":", "kind", "canon"), "attempt"))).alias("redrawn")),
+            "pii-maps").withColumnRenamed("id", "owner")
+        source = source.join(maps, F.col("id").eqNullSafe(F.col("owner")), "left").withColumn(
+            "redrawn", F.coalesce("redrawn", none))
     empty = F.array().cast(f"array<{_PIECE}>")
-    found = source.withColumn("_found", _matches(F.col(text_col)))
-    gaps = F.split(F.col(text_col), PATTERN, -1)
-    found = found.withColumn("_pieces", F.when(F.size("_found") > 0, F.flatten(F.zip_with(
-        gaps, F.col("_found"), lambda gap, m: F.concat(
+    found = source.withColumn("found", _matches(F.col("text")))
+    gaps = F.split(F.col("text"), PATTERN, -1)
+    found = found.withColumn("pieces", F.when(F.size("found") > 0, F.flatten(F.zip_with(
+        gaps, F.col("found"), lambda gap, m: F.concat(
             F.array(_piece(F.lit(None), gap)),
             F.when(m.isNull(), empty).otherwise(pieces(m)))))).otherwise(empty))
-    changed = F.transform("_pieces", lambda piece: replacement(piece, F.col("_redrawn"), key))
-    text = F.when(F.size("_pieces") > 0, F.array_join(changed, "")).otherwise(F.col(text_col))
-    count = F.size(F.filter("_pieces", lambda piece: piece["kind"].isNotNull()))
-    out = [text.alias(c) if c == text_col else F.col(c) for c in kept]
-    return found.select(*out, F.when(F.col(text_col).isNull(), 0).otherwise(count).alias("n_pii"))
+    changed = F.transform("pieces", lambda piece: replacement(piece, F.col("redrawn"), key))
+    text = F.when(F.size("pieces") > 0, F.array_join(changed, "")).otherwise(F.col("text"))
+    count = F.size(F.filter("pieces", lambda piece: piece["kind"].isNotNull()))
+    out = [text.alias(c) if c == text_col else F.col("row")[str(at)].alias(c)
+           for at, c in enumerate(kept)]
+    return found.select(*out, F.when(F.col("text").isNull(), 0).otherwise(count).alias("n_pii"))

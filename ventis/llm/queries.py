@@ -343,7 +343,7 @@ ORACLES = {
             FROM found GROUP BY row)
         SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
                coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
-               coalesce(least(round(score, 6), 1.0), 0.0) AS score
+               coalesce(round(score, 6), 0.0) AS score
         FROM docs LEFT JOIN summed ON summed.row = docs.row
     """,
 }
