@@ -97,11 +97,10 @@ def test_rollup_equals_direct_aggregate_when_a_station_is_hot(spark, star):
 
 
 @pytest.mark.parametrize("limit, offset", [(10, 0), (7, 13), (5, 95), (5, 200)])
-def test_deep_pages_equal_shallow_pages(ticks, limit, offset):
+def test_pages_follow_the_order(ticks, limit, offset):
     df, order = ticks(100), [("fecha_hora", False), ("id_monitoreo", False)]
     ids = lambda d: [r["id_monitoreo"] for r in d.collect()]
     near = ids(K.page(df, order, limit, offset))
-    assert near == ids(K.page(df, order, limit, offset, max_topk=0))
     assert near == list(range(99, -1, -1))[offset:offset + limit]
 
 
@@ -278,13 +277,29 @@ def test_time_bounds_prune_the_folders_of_a_stored_fact(spark, star, tmp_path):
     assert J.new_measurements(star.monitoreo, stored).count() == 0
 
 
-def test_deep_pages_equal_shallow_ones_with_nulls_and_mixed_order(spark):
-    rows = [(i, None if i % 4 == 0 else i % 3) for i in range(40)]
-    df = spark.createDataFrame(rows, "id long, a int")
-    for order in ([("a", False), ("id", False)], [("a", True), ("id", False)], [("a", False), ("id", True)]):
-        for offset in (0, 7, 33):
-            near = [r["id"] for r in K.page(df, order, 6, offset).collect()]
-            assert near == [r["id"] for r in K.page(df, order, 6, offset, max_topk=0).collect()]
+def test_pages_equal_the_sorted_rows_with_nulls_and_mixed_order(spark):
+    rows = [(i, None if i % 4 == 0 else i % 3, str(i % 5), i / 7) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, a int, s string, x double")
+    for key in ("a", "s", "x"):
+        for up, id_up in ((False, False), (True, False), (False, True)):
+            sort = [getattr(F.col(c), "asc_nulls_last" if u else "desc_nulls_last")()
+                    for c, u in ((key, up), ("id", id_up))]
+            whole = [r["id"] for r in df.orderBy(*sort).collect()]
+            for offset in (0, 7, 33, 50):
+                got = [r["id"] for r in K.page(df, [(key, up), ("id", id_up)], 6, offset).collect()]
+                assert got == whole[offset:offset + 6]
+
+
+def test_page_by_given_cells(spark, tmp_path):
+    path = str(tmp_path / "hechos")
+    days = spark.range(400).select(
+        F.col("id"), F.expr("timestamp_ntz'2026-01-01 00:00:00' + make_dt_interval(0, 6 * id)").alias("t"))
+    days.withColumn("fecha", F.to_date("t")).write.partitionBy("fecha").parquet(path)
+    stored = spark.read.parquet(path)
+    cells = {"t": [F.col("fecha"), F.col("t")]}
+    got = K.page(stored, [("t", False), ("id", False)], 5, 203, cells=cells)
+    assert [r["id"] for r in got.collect()] == [196, 195, 194, 193, 192]
+    assert "BroadcastHashJoin" in plan_of(got)
 
 
 def test_insert_absent_stores_a_repeated_key_once(spark):

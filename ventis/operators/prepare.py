@@ -10,7 +10,7 @@ from ventis.functions.numeric import parse_number
 from ventis.functions.text import (
     normalize_columns, normalize_comuna, normalize_region, normalize_text,
 )
-from ventis.operators.ranking import with_global_rank
+from ventis.operators.ranking import cells_of, with_prefix_rank
 from ventis.schemas import INDUSTRY_COLUMNS, POLLUTANTS, WEATHER, WEATHER_COLUMNS
 
 _PREPARED = ["fecha_hora", "codigo_estacion", "comuna", "region", *POLLUTANTS]
@@ -65,5 +65,9 @@ def unify(official: DataFrame, community: DataFrame) -> DataFrame:
 
 
 def number_rows(df: DataFrame, column: str = "numero_fila") -> DataFrame:
-    """Dense 0-based row number in reading order."""
-    return with_global_rank(df, ["_seq"], rank=column).drop("_seq")
+    """Dense 0-based row number in reading order, from counts per range of ``_seq``."""
+    inner = [f"_seq.{f.name}" for f in getattr(df.schema["_seq"].dataType, "fields", [])]
+    flat = df.withColumns({f"_seq{k}": F.col(n) for k, n in enumerate(inner or ["_seq"])})
+    names = [c for c in flat.columns if c not in df.columns]
+    cells = [cell for name in names for cell in cells_of(flat, name)]
+    return with_prefix_rank(flat, names, cells, rank=column).drop("_seq", *names)

@@ -75,8 +75,8 @@ def evaluation(spark: SparkSession, root: str) -> DataFrame:
 
 
 def forecast(spark: SparkSession, root: str) -> DataFrame:
-    latest = P.forecast_rows(series(spark, root), ORDER)
-    return P.forecast_report(persistence(latest))
+    newest = X.newest_with_series(dataset(spark, root), ORDER)
+    return P.forecast_report(persistence(P.forecast_rows(newest, ORDER)))
 
 
 def levels(spark: SparkSession, root: str) -> DataFrame:
@@ -832,7 +832,7 @@ def _fitted(spark, root, name: str):
     """Features, newest 20 % of the labelled rows, and a model fitted on the older 80 %."""
     features = materialize(_features(spark, root), "features")
     ranked = X.rank_in_time(X.training_rows(features), ["id_monitoreo"])
-    train, test = X.temporal_split(ranked)
+    train, test = X.temporal_split(materialize(ranked, "ranked"))
     return features, test, P.fit_models(train, CHECK_FOREST, [name])[name]
 
 
@@ -887,7 +887,8 @@ def linear_predictions(spark, root):
 def linear_24h(spark, root):
     """Forecast of every station's latest row by the same line."""
     train, _ = X.temporal_split(_ranked_targets(spark, root))
-    latest = P.forecast_rows(series(spark, root), ORDER).withColumn(
+    newest = X.newest_with_series(dataset(spark, root), ORDER)
+    latest = P.forecast_rows(newest, ORDER).withColumn(
         X.TARGET, F.lit(None).cast("double"))
     report = P.forecast_report(P.predict(_plain_model(train), latest))
     return rounded(report.select(

@@ -45,10 +45,10 @@ def run_forecast(dataset: DataFrame, steps: int = X.TARGET_STEPS,
         raise ValueError(f"{X.TIME} tiene valores nulos; la serie no se puede ordenar.")
     order = [X.TIME, *(tie_break or [])]
     features = materialize(X.build_features(df, order, steps), "features")
-    ranked = X.rank_in_time(X.training_rows(features), tie_break)
+    ranked = materialize(X.rank_in_time(X.training_rows(features), tie_break), "ranked")
     rows = ranked.count()
-    train, test = X.temporal_split(ranked, train_fraction, rows)
     cut = X.split_point(rows, train_fraction)
+    train, test = X.temporal_split(ranked, train_fraction)
 
     models = P.fit_models(train, forest)
     scored = {name: P.predict(model, test) for name, model in models.items()}
