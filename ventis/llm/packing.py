@@ -25,10 +25,27 @@ END_ID = 1
 GROUP_PIECES = 30_000
 # About 200 bytes a word in every Python worker.
 MEMO_WORDS = 600_000
+# How a byte-level tokenizer shows bytes: printable ones as themselves, the others from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+SHOWN = {byte: 256 + at for at, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+PROBES = ("the", "Unbelievable", "Straße", "ÉTÉ", "señor", "çàÿþØµª", "xyzzyqwk")
+
+
+def _core(word: bytes) -> tuple[bytes, bytes]:
+    """A word without the marks at its end, and those marks.
+
+    The tokenizer ends a piece between an ASCII letter or digit and such a mark, and lower-cases.
+    """
+    core = word.rstrip(b".,;:!?")
+    if not core or not core[-1:].isalnum():
+        core = word
+    tail = word[len(core):]
+    return (core.lower() if core.isascii() else core), tail
 
 
 class WordTokens:
-    """Token ids of texts by a tokenizer that drops white space, remembering whole words.
+    """Token ids of texts by a lower-casing tokenizer that drops white space and parts letters from
+    marks, remembering whole words.
 
     Words between ASCII white space do not influence each other's ids in such a tokenizer, so
     the library encodes each new word once, thousands in one call. The memory has two halves: when
@@ -39,6 +56,11 @@ class WordTokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.spell = self.tokenizer.model.tokenize
+        # Only a byte-level tokenizer that lower-cases spells letters as they are.
+        self.direct = all(
+            self._spelled(word) == np.array(self.tokenizer.encode(
+                word, add_special_tokens=False).ids, "<u4").tobytes() for word in PROBES)
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -48,23 +70,45 @@ class WordTokens:
         if len(self.memo) > MEMO_WORDS // 2:
             self.memo, self.older = {}, self.memo
         memo, older = self.memo, self.older
-        new = []
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
         for word in set().union(*split).difference(memo):
             if word in older:
                 memo[word] = older[word]
             else:
-                new.append(word)
-        for start in range(0, len(new), 4096):
-            part = [word.decode() for word in new[start:start + 4096]]
+                parts[word] = _core(word)
+        wanted = {part for pair in parts.values() for part in pair}.difference(memo)
+        for part in wanted.intersection(older):
+            memo[part] = older[part]
+        self._learn([part for part in wanted.difference(older) if part])
+        for word, (core, tail) in parts.items():
+            memo[word] = memo[core] + memo[tail] if tail else memo[core]
+        return [b"".join([memo[word] for word in words]) for words in split]
+
+    def _spelled(self, text: str) -> bytes:
+        """Ids of a word of Latin-1 letters: one piece, which the model reads byte by byte."""
+        shown = text.lower().encode().decode("latin-1").translate(SHOWN)
+        return np.array([piece.id for piece in self.spell(shown)], "<u4").tobytes()
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Remember the ids of new words. Words of letters go to the model at once, the others
+        through all of the library, some thousands in one call."""
+        other = []
+        for word in new:
+            text = word.decode()
+            if self.direct and text.isalpha() and max(text) < "\u0100":
+                self.memo[word] = self._spelled(text)
+            else:
+                other.append(text)
+        for start in range(0, len(other), 4096):
+            part = other[start:start + 4096]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(found.ids, "<u4").tobytes()
             starts = np.fromiter((span[0] for span in found.offsets), np.int64, len(ids) // 4)
             ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
             at = 0
-            for word, end in zip(new[start:start + 4096], np.searchsorted(starts, ends).tolist()):
-                memo[word] = ids[4 * at:4 * end]
+            for word, end in zip(part, np.searchsorted(starts, ends).tolist()):
+                self.memo[word.encode()] = ids[4 * at:4 * end]
                 at = end
-        return [b"".join([memo[word] for word in words]) for words in split]
 
 
 def _tokens(path: str) -> WordTokens:
@@ -98,7 +142,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return arrow_map(source, run, "doc_id long, piece int, start long, length long, ids_crc32 long",
-                     rows=128)
+                     rows=512)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
