@@ -38,6 +38,11 @@ def resident(key: tuple[str, ...], build: Callable[[], object]):
     return _RESIDENT[key]
 
 
+def release() -> None:
+    """Give Arrow's unused memory back; an idle worker should not hold on to its last batches."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
@@ -52,6 +57,7 @@ def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
             out = function(piece)
             if out is not None and out.num_rows:
                 yield out
+        release()
     return df.mapInArrow(run, schema)
 
 

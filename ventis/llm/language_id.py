@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ventis.llm.common import SLICE_ROWS, resident, slices
+from ventis.llm.common import SLICE_ROWS, release, resident, slices
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
@@ -159,6 +159,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             yield pa.StructArray.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 ["lang_pred", "score"])
+        release()
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     row = F.struct(*(F.col(c).alias(str(at)) for at, c in enumerate(kept))) if kept else F.lit(None)
