@@ -20,6 +20,17 @@ from ventis.session import materialize
 MIN_POSTERIOR = 0.5
 
 
+# Rows that travel to a Python worker at once: texts are long, and every task holds a batch twice.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def _with_length(docs: DataFrame) -> DataFrame:
     """``n_chars`` as the length of the text, where both are known."""
     return docs.withColumn("n_chars", F.when(
@@ -33,6 +44,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     below MIN_POSTERIOR. A missing label is filled with the prediction; given labels stay. Where
     no document has a label there is nothing to learn from, and all documents stay as they are.
     """
+    _small_batches(spark)
     model = language_id.train(docs)
     if not model.languages:
         return docs
@@ -44,6 +56,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that a later document keeps; a null text becomes empty."""
+    _small_batches(spark)
     return _with_length(line_dedup.dedup_lines(docs)).select(*docs.columns)
 
 
@@ -51,6 +64,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document, that of the smallest id, of each component of near-duplicates: SimHash of
     4-word shingles, linked at up to 4 differing bits. Texts without words are copies of each
     other; rows without an id stay."""
+    _small_batches(spark)
     return simhash_dedup.drop_near_duplicates(docs).select(*docs.columns)
 
 
@@ -61,6 +75,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces with their place in the training sequences."""
+    _small_batches(spark)
     return packing.pack_documents(docs, WORD_TOKENIZER)
 
 
