@@ -62,7 +62,6 @@ GREEK = "βγδζθκλμνξπρστφχ"
 VOWELS = {"latin": "aeio", "cyrillic": "аеио", "greek": "αειο"}
 ENDINGS = {"latin": ("o", "a", "e"), "cyrillic": ("", "а", "о"), "greek": ("ος", "α", "ι")}
 MAX_ROUNDS = 40
-_SPELLED = "struct<kind:string,canon:string>"
 _PIECE = "struct<kind:string,text:string>"
 
 
@@ -158,14 +157,13 @@ def _after(text: Column, lead: Column) -> Column:
     return F.substr(text, F.length(lead) + 1)
 
 
-def canonical(kind: Column, found: Column) -> Column:
+def canonical(kind: Column, mention: Column) -> Column:
     """One spelling for all mentions of an entity; not for persons."""
-    digits = _digits(found)
+    digits = _digits(mention)
     return (
-        F.when(kind == "email", F.lower(found))
-        .when(kind == "ipv4", found)
-        .when(kind == "secret", _after(found, _secret_lead(found)))
-        .when(kind == "iban", F.regexp_replace(found, " ", ""))
+        F.when(kind == "email", F.lower(mention))
+        .when(kind.isin("ipv4", "secret"), mention)
+        .when(kind == "iban", F.regexp_replace(mention, " ", ""))
         .when(kind == "phone", F.when(F.length(digits) == 10, F.concat(F.lit("1"), digits))
               .otherwise(digits))
         .otherwise(digits)
@@ -182,16 +180,28 @@ def _given_kind(title: Column) -> Column:
 
 
 def parts(piece: Column) -> Column:
-    """Entities of a piece as array<struct<kind, canon>>: one, or one per word of a name."""
+    """A piece as array<struct<kind, lead, mention, canon>>: one, or one per word of a name.
+
+    ``lead`` stays as it is, ``mention`` is written anew; a piece without a kind is all lead.
+    """
     kind, found = piece["kind"], piece["text"]
-    title = _title(found)
-    words = F.split(_after(found, title), " ")
-    person = F.transform(words, lambda word, at: F.struct(
-        F.when(at == F.size(words) - 1, "surname").otherwise(_given_kind(title)).alias("kind"),
-        F.lower(word).alias("canon")))
-    one = F.array(F.struct(kind.alias("kind"), canonical(kind, found).alias("canon")))
-    none = F.array().cast(f"array<{_SPELLED}>")
-    return F.when(kind.isNull(), none).when(kind == "person", person).otherwise(one)
+
+    def part(kind: Column, lead: Column, mention: Column, canon: Column) -> Column:
+        return F.struct(kind.alias("kind"), lead.alias("lead"), mention.alias("mention"),
+                        canon.alias("canon"))
+
+    def named(title: Column) -> Column:
+        words = F.split(_after(found, title), " ")
+        return F.transform(words, lambda word, at: part(
+            F.when(at == F.size(words) - 1, "surname").otherwise(_given_kind(title)),
+            F.when(at == 0, title).otherwise(" "), word, F.lower(word)))
+
+    def whole(lead: Column) -> Column:
+        mention = _after(found, lead)
+        return F.array(part(kind, lead, mention, canonical(kind, mention)))
+
+    lead = F.when(kind.isNull(), found).when(kind == "secret", _secret_lead(found)).otherwise("")
+    return F.when(kind == "person", _let(_title(found), named)).otherwise(_let(lead, whole))
 
 
 def _stream(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
@@ -281,26 +291,11 @@ def _attempt(redrawn: Column, kind: Column, canon: Column) -> Column:
     return F.coalesce(F.element_at(redrawn, F.concat_ws(":", kind, canon)), F.lit(0))
 
 
-def replacement(piece: Column, redrawn: Column, key: str) -> Column:
-    """What a piece becomes; ``redrawn`` maps "kind:canon" to attempts above zero."""
-    kind, found = piece["kind"], piece["text"]
-
-    def one(kind: Column, mention: Column, canon: Column) -> Column:
-        return write(kind, mention, canon, _attempt(redrawn, kind, canon), key)
-
-    canon = canonical(kind, found)
-    lead = _secret_lead(found)
-    title = _title(found)
-    words = F.split(_after(found, title), " ")
-    names = F.transform(words, lambda word, at: one(
-        F.when(at == F.size(words) - 1, "surname").otherwise(_given_kind(title)),
-        word, F.lower(word)))
-    return (
-        F.when(kind.isNull(), found)
-        .when(kind == "person", F.concat(title, F.array_join(names, " ")))
-        .when(kind == "secret", F.concat(lead, one(kind, _after(found, lead), canon)))
-        .otherwise(one(kind, found, canon))
-    )
+def replacement(part: Column, redrawn: Column, key: str) -> Column:
+    """What a part becomes; ``redrawn`` maps "kind:canon" to attempts above zero."""
+    kind, canon = part["kind"], part["canon"]
+    fresh = write(kind, part["mention"], canon, _attempt(redrawn, kind, canon), key)
+    return F.when(kind.isNull(), part["lead"]).otherwise(F.concat(part["lead"], fresh))
 
 
 def _matches(text: Column) -> Column:
@@ -349,7 +344,7 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id",
         F.col(id_col).alias("id"),
         F.explode(F.flatten(F.transform(
             F.flatten(F.transform(_matches(F.col(text_col)), pieces)), parts))).alias("part"),
-    ).select("id", "part.*")
+    ).filter("part.kind IS NOT NULL").select("id", "part.kind", "part.canon")
     chosen = attempts(mentions, key)
     redrawn = materialize(chosen.filter("attempt > 0"), "pii-redrawn")
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
@@ -375,7 +370,8 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id",
         gaps, F.col("found"), lambda gap, m: F.concat(
             F.array(_piece(F.lit(None), gap)),
             F.when(m.isNull(), empty).otherwise(pieces(m)))))).otherwise(empty))
-    changed = F.transform("pieces", lambda piece: replacement(piece, F.col("redrawn"), key))
+    changed = F.transform(F.flatten(F.transform("pieces", parts)),
+                          lambda part: replacement(part, F.col("redrawn"), key))
     text = F.when(F.size("pieces") > 0, F.array_join(changed, "")).otherwise(F.col("text"))
     count = F.size(F.filter("pieces", lambda piece: piece["kind"].isNotNull()))
     out = [text.alias(c) if c == text_col else F.col("row")[str(at)].alias(c)
