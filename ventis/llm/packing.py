@@ -9,6 +9,7 @@ of open sequences smallest. A group wastes about two sequences, whatever its siz
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 
@@ -24,10 +25,11 @@ MAX_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 30_000
 # About 200 bytes a word in every Python worker.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 900_000
 # How a byte-level tokenizer shows bytes: printable ones as themselves, the others from 256 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 SHOWN = {byte: 256 + at for at, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+LETTERS = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+")
 PROBES = ("the", "Unbelievable", "Straße", "ÉTÉ", "señor", "çàÿþØµª", "xyzzyqwk")
 
 
@@ -57,9 +59,10 @@ class WordTokens:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.spell = self.tokenizer.model.tokenize
+        self.packed = [n.to_bytes(4, "little") for n in range(self.tokenizer.get_vocab_size())]
         # Only a byte-level tokenizer that lower-cases spells letters as they are.
         self.direct = all(
-            self._spelled(word) == np.array(self.tokenizer.encode(
+            self._spelled(word.lower()) == np.array(self.tokenizer.encode(
                 word, add_special_tokens=False).ids, "<u4").tobytes() for word in PROBES)
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -76,27 +79,30 @@ class WordTokens:
                 memo[word] = older[word]
             else:
                 parts[word] = _core(word)
-        wanted = {part for pair in parts.values() for part in pair}.difference(memo)
-        for part in wanted.intersection(older):
-            memo[part] = older[part]
-        self._learn([part for part in wanted.difference(older) if part])
+        new = []
+        for part in {part for pair in parts.values() for part in pair}:
+            if part in older:
+                memo[part] = older[part]
+            elif part and part not in memo:
+                new.append(part)
+        self._learn(new)
         for word, (core, tail) in parts.items():
             memo[word] = memo[core] + memo[tail] if tail else memo[core]
         return [b"".join([memo[word] for word in words]) for words in split]
 
     def _spelled(self, text: str) -> bytes:
-        """Ids of a word of Latin-1 letters: one piece, which the model reads byte by byte."""
-        shown = text.lower().encode().decode("latin-1").translate(SHOWN)
-        return np.array([piece.id for piece in self.spell(shown)], "<u4").tobytes()
+        """Ids of a lower-case word of Latin-1 letters: one piece, which the model reads by bytes."""
+        shown = text if text.isascii() else text.encode().decode("latin-1").translate(SHOWN)
+        return b"".join([self.packed[piece.id] for piece in self.spell(shown)])
 
     def _learn(self, new: list[bytes]) -> None:
         """Remember the ids of new words. Words of letters go to the model at once, the others
         through all of the library, some thousands in one call."""
-        other = []
+        other, memo = [], self.memo
         for word in new:
             text = word.decode()
-            if self.direct and text.isalpha() and max(text) < "\u0100":
-                self.memo[word] = self._spelled(text)
+            if self.direct and (word.isalpha() or LETTERS.fullmatch(text)):
+                memo[word] = self._spelled(text.lower())
             else:
                 other.append(text)
         for start in range(0, len(other), 4096):
