@@ -253,8 +253,9 @@ def top_mean(df: DataFrame, key: str, top_n: int | None = 15, value: str = "mp25
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Rows per equal-width bin between minimum and maximum; the maximum is in the last bin."""
     value = F.col(column)
-    present = df.filter(value.isNotNull())
-    # Two numbers reach the driver; as literals they keep the plan to one scan of the rows.
+    # The column alone is written once, so bounds and bins do not evaluate ``df`` twice.
+    present = materialize(df.select(column).filter(value.isNotNull()), "histogram")
+    # Two numbers reach the driver.
     bounds = present.agg(F.min(value).cast("double"), F.max(value).cast("double")).first()
     low, high = (F.lit(bound).cast("double") for bound in bounds)
     width = (high - low) / bins
