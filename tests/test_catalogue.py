@@ -23,7 +23,7 @@ def tables():
     return con
 
 
-# These two compare with means or scores that take no median for an absent input. They differ on
+# Their SQL seems to need inputs that are never absent (it takes no medians). They differ on
 # the smallest tables and are equal at sf0.01: check them there with check_oracles.py.
 NEEDS_WHOLE_INPUTS = {"cluster_scores", "kmeans_properties"}
 
