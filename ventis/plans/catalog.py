@@ -791,6 +791,11 @@ def risk_distribution(spark, root):
     return V.risk_distribution(C.assign_labels(levels(spark, root)))
 
 
+def _asked() -> Column:
+    """Rows whose Euclidean silhouette is averaged; their neighbours are all rows."""
+    return F.col("id_monitoreo") % 100 == 0
+
+
 def _vectors(spark, root):
     df = dataset(spark, root)
     scaling = C.fit_scaling(df)
@@ -813,9 +818,9 @@ def kmeans_assign(spark, root):
 @query
 def k_sweep(spark, root):
     _, _, vectors = _vectors(spark, root)
-    cached = vectors.select(C.FEATURES).persist()
+    cached = vectors.select("id_monitoreo", C.FEATURES).persist()
     try:
-        return C.k_sweep(cached)[0]
+        return C.k_sweep(cached, asked=_asked())[0]
     finally:
         cached.unpersist()
 
@@ -952,7 +957,8 @@ def prediction_report(spark, root):
 
 @query
 def cluster_scores(spark, root):
-    """Inertia and silhouette of given clusters over all rows."""
+    """Inertia and squared silhouette of given clusters over all rows, and the Euclidean
+    silhouette of the rows with an id divisible by 100 against all rows."""
     df = levels(spark, root)
     scaling = C.fit_scaling(df)
     squares = F.lit(0.0)
@@ -960,8 +966,13 @@ def cluster_scores(spark, root):
         squares = squares + F.var_pop(c) * F.count("*")
     scaled = C.standardize(df, scaling, keep=("cluster",))
     inertia = scaled.groupBy("cluster").agg(squares.alias("s")).agg(F.sum("s").alias("inercia"))
-    score = C.silhouette(C.assemble(df, scaling))
-    return rounded(inertia.withColumn("silhouette", F.lit(score)), "inercia", "silhouette")
+    vectors = C.assemble(df, scaling)
+    score = C.silhouette(vectors)
+    plain = C.euclidean_silhouettes(
+        vectors.withColumn("_point", vector_to_array(C.FEATURES)), "_point", ["cluster"], _asked())
+    out = inertia.withColumn("silhouette_cuadrada", F.lit(score)).join(
+        plain.select("silhouette"), F.lit(True))
+    return rounded(out, "inercia", "silhouette", "silhouette_cuadrada")
 
 
 @query

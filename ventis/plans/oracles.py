@@ -847,8 +847,10 @@ UNION ALL SELECT 'pronostico_24h', fecha_hora, fecha_hora_objetivo, codigo_estac
        categoria FROM pronostico""")
 # With squared distances, the mean distance of a point to a cluster follows from sums alone.
 oracle("cluster_scores", f"""
-, z AS (SELECT cluster, id_monitoreo, {', '.join(
-    f'({c} - AVG({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}' for c in _CLUSTER)} FROM nivel),
+, relleno AS (SELECT * REPLACE ({', '.join(
+    f'COALESCE({c}, (SELECT quantile_cont({c}, 0.5) FROM nivel)) AS {c}' for c in _CLUSTER)}) FROM nivel),
+z AS (SELECT cluster, id_monitoreo, {', '.join(
+    f'({c} - AVG({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}' for c in _CLUSTER)} FROM relleno),
 g AS (SELECT cluster AS otro, COUNT(*) AS n, {', '.join(f'AVG({c}) AS m_{c}' for c in _CLUSTER)},
              {' + '.join(f'AVG({c} * {c})' for c in _CLUSTER)} AS q FROM z GROUP BY cluster),
 d AS (SELECT id_monitoreo, cluster, otro, n,
@@ -856,8 +858,15 @@ d AS (SELECT id_monitoreo, cluster, otro, n,
              - 2 * ({' + '.join(f'{c} * m_{c}' for c in _CLUSTER)}) AS lejos FROM z, g),
 p AS (SELECT id_monitoreo, MAX(CASE WHEN otro = cluster THEN lejos * n / (n - 1) END) AS a,
              MIN(CASE WHEN otro <> cluster THEN lejos END) AS b FROM d GROUP BY id_monitoreo),
-e AS (SELECT {' + '.join(f'var_pop({c}) * COUNT(*)' for c in _CLUSTER)} AS s FROM z GROUP BY cluster)
-SELECT (SELECT {rnd('SUM(s)')} FROM e) AS inercia, {rnd('AVG((b - a) / GREATEST(a, b))')} AS silhouette
+e AS (SELECT {' + '.join(f'var_pop({c}) * COUNT(*)' for c in _CLUSTER)} AS s FROM z GROUP BY cluster),
+f AS (SELECT x.id_monitoreo, x.cluster, y.cluster AS otro, COUNT(*) AS n, SUM(sqrt({' + '.join(
+        f'(x.{c} - y.{c}) * (x.{c} - y.{c})' for c in _CLUSTER)})) AS lejos
+      FROM z x, z y WHERE x.id_monitoreo % 100 = 0 GROUP BY ALL),
+h AS (SELECT id_monitoreo, MAX(CASE WHEN otro = cluster THEN lejos / (n - 1) END) AS a,
+             MIN(CASE WHEN otro <> cluster THEN lejos / n END) AS b FROM f GROUP BY id_monitoreo)
+SELECT (SELECT {rnd('SUM(s)')} FROM e) AS inercia,
+       (SELECT {rnd('AVG((b - a) / GREATEST(a, b))')} FROM h) AS silhouette,
+       {rnd('AVG((b - a) / GREATEST(a, b))')} AS silhouette_cuadrada
 FROM p""")
 oracle("kmeans_properties", """
 SELECT UNNEST(['filas', 'asignadas', 'en_perfil', 'centros', 'etiquetas']) AS propiedad,

@@ -48,6 +48,7 @@ def run_segmentation(dataset: DataFrame, k: int = 3, seed: int = 42, starts: int
         "variables": scaling.columns,
         "inercia": chosen.get("inercia"),
         "silhouette": chosen.get("silhouette"),
+        "silhouette_cuadrada": chosen.get("silhouette_cuadrada"),
         "evaluacion_k": table,
     }
     centers = C.centroids(model, scaling, dataset)
