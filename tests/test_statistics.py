@@ -55,6 +55,31 @@ def test_correlation_is_pairwise(spark):
         S.correlation_matrix(df, ["a"])
 
 
+def test_correlation_keeps_digits_and_rows(spark):
+    """Large offsets, absent values in every task, constants, and a plan that repeats no row."""
+    rng = np.random.default_rng(5)
+    x = 1e9 + rng.normal(0, 1, 3000)
+    y = 0.3 * (x - 1e9) + rng.normal(0, 1, 3000) - 1e7
+    z = np.where(np.arange(3000) < 2000, np.nan, rng.normal(0, 1, 3000))
+    pdf = pd.DataFrame({"x": x, "y": y, "z": z, "fija": 2.0})
+    df = spark.createDataFrame(pdf).withColumn("z", F.nanvl("z", F.lit(None))).repartition(7)
+    got = S.correlation_matrix(df, ["x", "y", "z", "fija"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+    rows = {(r["variable_x"], r["variable_y"]): r["correlacion"] for r in got.collect()}
+    assert len(rows) == 10
+    centred = pdf.assign(x=pdf.x - 1e9, y=pdf.y + 1e7).corr()
+    for (a, b), value in rows.items():
+        if "fija" in (a, b):
+            assert value is None
+        else:
+            assert value == pytest.approx(centred.loc[a, b], abs=1e-7)
+    assert S.correlation_matrix(df.limit(0), ["x", "y"]).collect() == []
+    endless = df.withColumn("x", F.when(F.rand(1) < 0.01, float("inf")).otherwise(F.col("x")))
+    rows = S.correlation_matrix(endless, ["x", "y"]).collect()
+    assert {r["correlacion"] is None for r in rows if r["variable_x"] == "x"} == {True}
+
+
 def test_linear_trend(spark):
     pdf, df = frame(spark)
     row = S.linear_trend(df, "a", "b").first()

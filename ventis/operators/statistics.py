@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -176,39 +178,75 @@ def quality_summary(df: DataFrame, columns: Sequence[str] | None = None, approx:
     return result
 
 
+_MOMENTS = ["n", "mx", "my", "cxx", "cyy", "cxy"]
+
+
+def _pair_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per pair of columns and task: rows with both, their means and centred second moments."""
+    total = None
+    for batch in batches:
+        x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+        there = ~np.isnan(x)
+        # Centred at the batch's own means, so that large values lose no digits.
+        n = there.sum(axis=0)
+        middle = np.where(there, x, 0).sum(axis=0) / np.maximum(n, 1)
+        x = np.where(there, x - middle, 0)
+        there = there.astype(float)
+        n, sx = there.T @ there, x.T @ there
+        safe = np.maximum(n, 1)
+        sxx, sxy = (x * x).T @ there, x.T @ x
+        own = [n, middle[:, None] + sx / safe, middle + sx.T / safe,
+               sxx - sx * sx / safe, sxx.T - sx.T * sx.T / safe, sxy - sx * sx.T / safe]
+        if total is None:
+            total = own
+            continue
+        both = np.maximum(total[0] + n, 1)
+        dx, dy = own[1] - total[1], own[2] - total[2]
+        share, mixed = n / both, total[0] * n / both
+        total = [total[0] + n, total[1] + dx * share, total[2] + dy * share,
+                 total[3] + own[3] + dx * dx * mixed, total[4] + own[4] + dy * dy * mixed,
+                 total[5] + own[5] + dx * dy * mixed]
+    if total is not None:
+        i, j = np.triu_indices(len(total[0]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.astype("int32")), pa.array(j.astype("int32")),
+             *(pa.array(t[i, j]) for t in total)], ["i", "j", *_MOMENTS])
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATION_COLUMNS) -> DataFrame:
-    """Pearson correlation of each pair, over rows where both are present, in one pass.
+    """Pearson correlation of each pair, over rows where both are present, in one scan.
 
     Rows (variable_x, variable_y, correlacion) hold the upper triangle and the diagonal.
-    Variables without any value are left out. Each row is repeated once per variable and
-    combined map-side into one group per variable: one wide aggregate over all pairs would be
-    too large to compile.
+    Variables without any value are left out, one that is constant or holds an infinite value has
+    NULL. Each task hands on one row of centred moments per pair, so the rows themselves are
+    neither repeated nor shuffled. NaN counts as absent.
     """
     columns = available(df, columns)
     if len(columns) < 2:
-        raise ValueError(
-            "Se necesitan al menos dos variables numéricas para calcular correlaciones."
-        )
+        raise ValueError("Una correlación compara dos variables presentes o más.")
     names = F.array(*[F.lit(c) for c in columns])
     numeric = df.select(*[F.col(c).try_cast("double").alias(c) for c in columns])
-    wide = numeric.select("*", F.posexplode(F.array(*columns)).alias("i", "valor"))
-    grouped = wide.groupBy("i").agg(
-        *[F.corr("valor", c).alias(c) for c in columns],
-        *[F.count(c).alias(f"n_{c}") for c in columns],
-    )
-    pairs = F.array(*[
-        F.struct(
-            F.lit(j).alias("j"), F.col(c).alias("correlacion"), F.col(f"n_{c}").alias("n")
-        ) for j, c in enumerate(columns)
-    ])
-    return (
-        grouped.select("i", F.explode(pairs).alias("p")).select("i", "p.*")
-        .filter((F.col("j") >= F.col("i")) & (F.col("n") > 0))
-        .select(
-            F.get(names, F.col("i")).alias("variable_x"),
-            F.get(names, F.col("j")).alias("variable_y"), "correlacion",
-        )
+    parts = numeric.mapInArrow(
+        _pair_moments, "i int, j int, " + ", ".join(f"{c} double" for c in _MOMENTS))
+    # One row per task and pair; a task without the pair has n = 0 and adds nothing.
+    pair = Window.partitionBy("i", "j")
+    rows = F.sum("n").over(pair)
+    mean_x, mean_y = (F.sum(F.col("n") * F.col(m)).over(pair) / F.nullif(rows, F.lit(0.0))
+                      for m in ("mx", "my"))
+    dx, dy = F.col("mx") - F.col("_x"), F.col("my") - F.col("_y")
+    sums = parts.withColumns({"_x": mean_x, "_y": mean_y}).groupBy("i", "j").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("cxx") + F.col("n") * dx * dx).alias("xx"),
+        F.sum(F.col("cyy") + F.col("n") * dy * dy).alias("yy"),
+        F.sum(F.col("cxy") + F.col("n") * dx * dy).alias("xy"),
     )
+    spread = F.sqrt(F.col("xx")) * F.sqrt(F.col("yy"))
+    usable = (spread > 0) & (spread < float("inf"))
+    correlation = F.greatest(F.lit(-1.0), F.least(
+        F.lit(1.0), F.col("xy") / F.when(usable, spread)))
+    return sums.filter("n > 0").select(
+        F.get(names, F.col("i")).alias("variable_x"), F.get(names, F.col("j")).alias("variable_y"),
+        F.when(usable, correlation).alias("correlacion"))
 
 
 def linear_trend(df: DataFrame, x: str, y: str = "mp25") -> DataFrame:
