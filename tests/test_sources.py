@@ -1,10 +1,14 @@
 import json
+import re
+from dataclasses import replace
+from datetime import date
 
 import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
 from ventis.functions.text import normalize_columns
+from ventis.plans import etl
 from ventis.schemas import MAPPING_COLUMNS
 from ventis.sources import readers, writers
 from ventis.sources.star import Star, get_by_id, list_dimension
@@ -89,3 +93,48 @@ def test_fact_is_partitioned_by_date_and_star_round_trips(star, tmp_path, spark)
     assert list_dimension(again.industrias, "id_industria").first()["nombre"] == "Industria Talca"
     assert get_by_id(again.comunas, "id_comuna", 99).isEmpty()
     assert again.monitoreo.agg(F.min("fecha_hora")).first()[0] == at("2026-06-18")
+
+
+def test_a_late_day_replaces_only_its_own_files(star, tmp_path, spark):
+    """A second export of two days: a changed one and one that lost its rows."""
+    path = str(tmp_path / "dataset")
+    more = star.monitoreo.unionByName(star.monitoreo.withColumns({
+        "id_monitoreo": F.col("id_monitoreo") + 10,
+        "fecha_hora": F.col("fecha_hora") + F.expr("INTERVAL 1 DAY")})).unionByName(
+        star.monitoreo.withColumns({
+            "id_monitoreo": F.col("id_monitoreo") + 20,
+            "fecha_hora": F.col("fecha_hora") + F.expr("INTERVAL 2 DAY")}))
+    etl.export_dataset(replace(star, monitoreo=more), path)
+
+    def files(day):
+        return {(p, p.stat().st_mtime_ns) for p in (tmp_path / "dataset" / f"fecha={day}").glob("*")}
+
+    before = {day: files(day) for day in ("2026-06-18", "2026-06-19", "2026-06-20")}
+    assert all(before.values())
+    late = more.filter("id_monitoreo < 20").withColumn(
+        "mp25", F.when(F.col("id_monitoreo") == 11, 1.0).otherwise(F.col("mp25") + 5))
+    etl.export_dataset(replace(star, monitoreo=late), path, [date(2026, 6, 19), date(2026, 6, 20)])
+    assert files("2026-06-18") == before["2026-06-18"]
+    assert files("2026-06-19").isdisjoint(before["2026-06-19"]) and not files("2026-06-20")
+    rows = spark.read.parquet(path).orderBy("fecha_hora").collect()
+    assert [r["mp25"] for r in rows] == [65.0, 115.0, 1.0, 120.0]
+
+
+def test_an_export_of_days_scans_only_their_folders(star, tmp_path, spark):
+    stored = str(tmp_path / "fact")
+    writers.write_measurements(star.monitoreo.unionByName(star.monitoreo.withColumn(
+        "fecha_hora", F.col("fecha_hora") + F.expr("INTERVAL 1 DAY"))), stored)
+    fact = spark.read.parquet(stored)
+    wanted = []
+    original = etl.write_days
+
+    def seen(df, path, days):
+        wanted.append(df._jdf.queryExecution().executedPlan().toString())
+        original(df, path, days)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(etl, "write_days", seen)
+        etl.export_dataset(replace(star, monitoreo=fact), str(tmp_path / "out"), [date(2026, 6, 19)])
+    filters = re.search(r"PartitionFilters: \[([^\]]*)", wanted[0]).group(1)
+    assert "fecha" in filters
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2

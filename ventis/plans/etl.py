@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ventis.functions.air import ica_category
 from ventis.operators.features import fill_context
+from ventis.operators.filters import DAY
 from ventis.operators.ingest import INGEST_COLUMNS, ingest_batch, load_report, prepare_load
 from ventis.operators.joins import join_weather, modeling_dataset
 from ventis.operators.prepare import (
@@ -20,7 +22,7 @@ from ventis.schemas import MEASUREMENT_COLUMNS, MODELING_COLUMNS
 from ventis.session import materialize
 from ventis.sources.readers import read_all_sources
 from ventis.sources.star import Star
-from ventis.sources.writers import write_measurements, write_payload, write_table
+from ventis.sources.writers import write_days, write_measurements, write_payload, write_table
 
 
 @dataclass(frozen=True)
@@ -127,6 +129,16 @@ def dataset_from_valid(valid: DataFrame) -> DataFrame:
     )
 
 
-def export_dataset(star: Star, path: str) -> None:
-    """The whole modelling dataset in one distributed write, no paging."""
-    write_table(modeling_dataset(star), path)
+def export_dataset(star: Star, path: str, days: Sequence[date] | None = None) -> None:
+    """The modelling dataset in one distributed write by day, no paging.
+
+    ``days`` (for example those that late data touched) are computed and replaced alone; on a fact
+    stored by day the scan opens only their folders.
+    """
+    if days is not None:
+        fact = star.monitoreo
+        wanted = F.to_date("fecha_hora").isin(list(days))
+        if DAY in fact.columns:
+            wanted = wanted & F.col(DAY).isin(list(days))
+        star = replace(star, monitoreo=fact.filter(wanted))
+    write_days(modeling_dataset(star), path, days)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +18,9 @@ ADAPTIVE_CONF = {
 }
 
 
+_scope = threading.local()
+
+
 def build_session(
     app_name: str = "ventis", master: str | None = None, conf: dict[str, str] | None = None
 ) -> SparkSession:
@@ -50,7 +56,10 @@ def _own_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder of this application in the shared folder."""
-    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -66,7 +75,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark writes; an absent one is no error."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made in this block by this thread when it ends.
+
+    For work whose results are written or collected inside: frames that read these tables stop
+    working.
+    """
+    outer = getattr(_scope, "paths", None)
+    _scope.paths = []
+    try:
+        yield
+    finally:
+        made, _scope.paths = _scope.paths, outer
+        for path in made:
+            delete_path(spark, path)
+
+
 def drop_materialized(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; frames that read them stop working."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, _own_folder(spark))

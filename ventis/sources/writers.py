@@ -2,27 +2,53 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ventis.functions.dates import iso_timestamp
+from ventis.operators.filters import DAY
 from ventis.schemas import POLLUTANTS, WEATHER
+from ventis.session import delete_path
 
 PAYLOAD_FIELDS = ["fecha_hora", "id_estacion", *POLLUTANTS, *WEATHER]
 
 
-def write_measurements(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Fact rows as Parquet partitioned by date.
+def write_days(df: DataFrame, path: str, days: Sequence[date] | None = None,
+               mode: str = "overwrite", order: Sequence[str] = ("fecha_hora",)) -> None:
+    """Rows as Parquet partitioned by the date of ``fecha_hora``.
+
+    With ``days`` the rows of these days replace what is stored of them, a day without rows
+    becomes empty, and the files of all other days stay as they are; rows of other days in ``df``
+    are not written. Days are replaced one after the other: readers may see some done and some
+    not, and a repeat after a failure completes the work.
 
     The rebalance hint lets adaptive execution split a busy date over several tasks and merge
     quiet ones, so neither one huge task nor many tiny files result.
     """
-    (
-        df.withColumn("fecha", F.to_date("fecha_hora"))
-        .hint("rebalance", "fecha")
-        .sortWithinPartitions("fecha", "id_estacion", "fecha_hora")
-        .write.mode(mode).partitionBy("fecha").parquet(path)
+    dated = df.withColumn(DAY, F.to_date("fecha_hora"))
+    if days is not None:
+        dated = dated.filter(F.col(DAY).isin(list(days)))
+    writer = (
+        dated.hint("rebalance", DAY).sortWithinPartitions(DAY, *order)
+        .write.mode(mode).partitionBy(DAY)
     )
+    if days is None:
+        writer.parquet(path)
+        return
+    # Only days that were asked for: one value each.
+    filled = {row[0] for row in dated.select(DAY).distinct().collect()}
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    for day in set(days) - filled:
+        delete_path(df.sparkSession, f"{path}/{DAY}={day.isoformat()}")
+
+
+def write_measurements(df: DataFrame, path: str, mode: str = "overwrite",
+                       days: Sequence[date] | None = None) -> None:
+    """Fact rows by date, sorted by station and time; see :func:`write_days`."""
+    write_days(df, path, days, mode, ["id_estacion", "fecha_hora"])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +12,11 @@ from ventis.operators.ingest import (
 )
 from ventis.operators.quality import messages
 from ventis.schemas import POLLUTANTS, WEATHER, all_string
-from ventis.session import materialize
+from ventis.session import materialize, temporary_tables
+from ventis.streaming.store import add_batch, clear_batch, days_of, read_store, stored_on
+
+# Hidden from readers of the store by its first letter.
+LOG = "_registro"
 
 PAYLOAD_SCHEMA = T.StructType(
     [T.StructField("fecha_hora", T.TimestampNTZType()), T.StructField("id_estacion", T.LongType())]
@@ -49,37 +52,36 @@ def valid_unique_stream(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
-def _stored(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """Rows stored by other batches; a re-run of this batch does not see its own output."""
-    schema = T.StructType([*PAYLOAD_SCHEMA, T.StructField("lote", T.LongType())])
-    try:
-        rows = spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
-    return rows.filter(F.col("lote") != batch_id)
-
-
 def ingest_stream(stream: DataFrame, stations: DataFrame, store: str, rejects: str,
                   checkpoint: str) -> DataStreamWriter:
     """Writer that adds each micro-batch to ``store`` and its rejects to ``rejects``.
 
-    Every batch writes its own ``lote`` partition and overwrites it, so a repeated batch after
-    a failure gives the same tables. Duplicates are found against everything stored before,
-    however late they come. Call ``trigger(...).start()`` on the result.
+    The store has a folder per day; a batch reads and writes only the days of its own rows, so its
+    cost does not follow the history. Duplicates are found against everything stored on these
+    days, however late they come: state behind a watermark would forget them, and would drop
+    repeats that the rejects have to name. A repeated batch after a failure first clears what its
+    earlier attempt wrote, so it gives the same tables; its rejects are a ``lote`` folder that it
+    overwrites. One store takes one checkpoint. Intermediate tables go with the batch. Call
+    ``trigger(...).start()`` on the result and read the store with :func:`stored_measurements`.
     """
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        numbered = materialize(
-            batch.withColumn("indice", F.monotonically_increasing_id()).select(
-                "indice", *INGEST_COLUMNS, *[c for c in batch.columns if c == UNREADABLE]), "lote"
-        )
-        accepted, rejected = ingest_batch(
-            numbered, stations, _stored(spark, store, batch_id)
-        )
-        accepted.drop("indice").write.mode("overwrite").parquet(f"{store}/lote={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{rejects}/lote={batch_id}")
+        spark, log = batch.sparkSession, f"{store}/{LOG}"
+        with temporary_tables(spark):
+            numbered = materialize(
+                batch.withColumn("indice", F.monotonically_increasing_id()).select(
+                    "indice", *INGEST_COLUMNS, *[c for c in batch.columns if c == UNREADABLE]), "lote"
+            )
+            days = days_of(numbered)
+            clear_batch(spark, store, log, batch_id)
+            accepted, rejected = ingest_batch(
+                numbered, stations, stored_on(spark, store, PAYLOAD_SCHEMA, days))
+            add_batch(accepted.drop("indice"), store, log, batch_id, days)
+            rejected.write.mode("overwrite").parquet(f"{rejects}/lote={batch_id}")
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+
+
+def stored_measurements(spark: SparkSession, store: str) -> DataFrame:
+    """Everything that batches have stored, with its day and batch; empty before the first."""
+    return read_store(spark, store, PAYLOAD_SCHEMA)
