@@ -36,6 +36,7 @@ COMUNA_NAMES = {
     "hualpén": "Hualpén",
 }
 
+# Columns that hold labels.
 LABEL_COLUMNS = [
     "comuna", "region", "tipo_sensor", "categoria_ica", "codigo_estacion", "nivel_riesgo",
     "categoria_alerta", "categoria_predicha", "categoria_alerta_predicha", "mensaje_ciudadano",

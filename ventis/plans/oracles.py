@@ -2,15 +2,47 @@
 
 from __future__ import annotations
 
-from ventis.functions import air
-from ventis.operators.cluster import RISK_WEIGHTS
-from ventis.operators.ingest import DUPLICATE_REASON, OMISSION_COUNTS
 from ventis.operators.statistics import CORRELATION_COLUMNS, DESCRIBE_COLUMNS
 from ventis.schemas import DETAIL_COLUMNS, MODELING_COLUMNS, POLLUTANTS, WEATHER
 from ventis.sources.adapter import COMUNA_SPELLINGS, REGION_SPELLINGS
 
 ORACLES: dict[str, str] = {}
 
+# Fixed values, stated here again so that a wrong constant of the engine shows as a difference.
+BOUNDS = [50.0, 80.0, 110.0, 170.0]
+CATEGORIES = ["Buena", "Regular", "Alerta", "Preemergencia", "Emergencia"]
+ADVICE = [
+    "Calidad del aire favorable para actividades al aire libre.",
+    "Personas sensibles deberian reducir exposicion prolongada.",
+    "Evitar actividad fisica intensa al aire libre.",
+    "Reducir actividades al aire libre y priorizar grupos de riesgo.",
+    "Permanecer en interiores y evitar exposicion al aire libre.",
+]
+COLORS = ["verde", "amarillo", "naranjo", "rojo", "morado"]
+SENTENCES = [
+    "La calidad del aire estimada para las proximas 24 horas se mantiene en niveles bajos de riesgo.",
+    "Se espera un aumento moderado de MP2.5. Conviene monitorear la evolucion durante el dia.",
+    "El modelo estima un aumento relevante de MP2.5 para las proximas 24 horas.",
+    "El modelo estima niveles altos de MP2.5 para las proximas 24 horas. "
+    "Esta comuna requiere atencion preventiva.",
+    "Se proyectan niveles muy altos de MP2.5 para las proximas 24 horas. "
+    "Esta comuna requiere atencion preventiva inmediata.",
+]
+NO_SENTENCE = "Todavia no hay un pronostico disponible para las proximas 24 horas."
+RISK_WEIGHTS = {
+    "mp25": 0.45, "mp10": 0.15, "so2": 0.08, "no2": 0.08, "humedad": 0.04,
+    "indice_vulnerabilidad_respiratoria": 0.12, "emision_maxima_permitida": 0.04,
+    "velocidad_viento": 0.04,
+}
+DUPLICATE_REASON = "Ya existe una medicion para esa estacion y fecha_hora."
+OMISSION_COUNTS = {
+    "omitidas_por_estacion_no_encontrada": "estacion_no_encontrada",
+    "omitidas_por_estacion_ambigua": "estacion_ambigua",
+    "omitidas_por_codigo_api_no_disponible": "codigo_api_no_disponible",
+    "omitidas_por_clima_requerido_api": "clima_requerido_por_api",
+    "omitidas_por_medicion_ya_existente": "medicion_ya_existente",
+}
+
 
 def rnd(expression: str, digits: int = 4) -> str:
     return f"CAST(ROUND(CAST({expression} AS DECIMAL(18,6)), {digits}) AS DOUBLE)"
@@ -26,34 +58,32 @@ def _choice(options: list[str], position: str) -> str:
 
 def level(value: str, results: list[str]) -> str:
     """Air-quality level of a PM2.5 expression; NULL when negative."""
-    bounds = [bound for bound, *_ in air.ICA_LEVELS[:-1]]
     cases = " ".join(
-        f"WHEN {value} < {bound} THEN {_text(result)}" for bound, result in zip(bounds, results)
+        f"WHEN {value} < {bound} THEN {_text(result)}" for bound, result in zip(BOUNDS, results)
     )
     return (f"CASE WHEN {value} IS NULL OR {value} < 0 THEN NULL {cases} "
             f"ELSE {_text(results[-1])} END")
 
 
 def category(value: str) -> str:
-    return level(value, air.CATEGORIES)
+    return level(value, CATEGORIES)
 
 
 def advice(value: str) -> str:
-    return level(value, [item[2] for item in air.ICA_LEVELS])
+    return level(value, ADVICE)
 
 
 def color(value: str) -> str:
-    return level(value, [item[3] for item in air.ICA_LEVELS])
+    return level(value, COLORS)
 
 
 def outlook(value: str) -> str:
-    sentences = [air.OUTLOOK_SENTENCES[name] for name in air.CATEGORIES]
-    return f"COALESCE({level(value, sentences)}, {_text(air.OUTLOOK_MISSING)})"
+    return f"COALESCE({level(value, SENTENCES)}, {_text(NO_SENTENCE)})"
 
 
-ALERTS = ", ".join(map(_text, air.ALERT_CATEGORIES))
+ALERTS = ", ".join(map(_text, CATEGORIES[2:]))
 SEVERITY = "CASE {0} " + " ".join(
-    f"WHEN {_text(name)} THEN {i}" for i, name in enumerate(air.CATEGORIES)
+    f"WHEN {_text(name)} THEN {i}" for i, name in enumerate(CATEGORIES)
 ) + " ELSE 999 END"
 
 BASE = f"""

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Column names of the feeds, the store and the reports.
 POLLUTANTS = ["mp25", "mp10", "so2", "no2"]
 WEATHER = ["velocidad_viento", "direccion_viento_grados", "temperatura", "humedad"]
 CONTEXT = ["indice_vulnerabilidad_respiratoria", "emision_maxima_permitida"]
