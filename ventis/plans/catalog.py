@@ -970,8 +970,9 @@ def cluster_scores(spark, root):
     score = C.silhouette(vectors)
     plain = C.euclidean_silhouettes(
         vectors.withColumn("_point", vector_to_array(C.FEATURES)), "_point", ["cluster"], _asked())
-    out = inertia.withColumn("silhouette_cuadrada", F.lit(score)).join(
-        plain.select("silhouette"), F.lit(True))
+    # Two numbers reach the driver.
+    out = inertia.withColumns({
+        "silhouette": F.lit(plain.first()["silhouette"]), "silhouette_cuadrada": F.lit(score)})
     return rounded(out, "inercia", "silhouette", "silhouette_cuadrada")
 
 
