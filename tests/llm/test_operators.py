@@ -89,6 +89,12 @@ def test_edge_cases_keep_every_row(name, odd, none):
     assert ALL[name](none).count() == 0
 
 
+def test_near_duplicates_are_joined_alike_at_every_size(odd):
+    """Kept ids are as many as documents: they are never broadcast, not even few of them."""
+    plan = simhash_dedup.drop_near_duplicates(odd)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and "BroadcastHashJoin" not in plan
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     kept = simhash_dedup.drop_near_duplicates(odd)
     ids = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect())

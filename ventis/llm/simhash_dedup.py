@@ -262,6 +262,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Of repeated rows of that id one stays. Rows with a null id are kept as they are. Only rows
     of repeated ids are grouped; all others pass the join alone, so their texts are not sorted.
+    The join is a shuffled one at every size: its ids number as many as the documents.
     """
     keep = materialize(
         simhash_components(docs, id_col, text_col, size, radius)
@@ -270,7 +271,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         "simhash-kept")
 
     def of(condition: str) -> DataFrame:
-        return docs.join(keep.filter(condition).select(id_col), id_col, "left_semi")
+        ids = keep.filter(condition).select(id_col).hint("shuffle_hash")
+        return docs.join(ids, id_col, "left_semi")
 
     repeated = of("rows > 1").dropDuplicates([id_col])
     unnamed = docs.filter(F.col(id_col).isNull())
