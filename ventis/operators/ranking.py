@@ -176,12 +176,16 @@ def with_prefix_rank(df: DataFrame, order: Sequence[str], cells: Sequence[Column
     rows of one finest cell have to meet in a task. Nothing runs and nothing is written here.
     """
     cut, names, up = _with_levels(df, [(c, True) for c in cells])
-    inside = Window.partitionBy(*names).orderBy(*_nulls_last(order))
-    ranked = _join_on(cut, prefix_index(cut, names, up), names).withColumn(
+    # A struct is never absent, and absent parts of it are equal: join and window share one key and
+    # with it one shuffle of the rows.
+    cell = F.struct(*names)
+    index = prefix_index(cut, names, up).select(cell.alias("_levels"), "_before", "_all")
+    inside = Window.partitionBy("_levels").orderBy(*_nulls_last(order))
+    ranked = cut.withColumn("_levels", cell).drop(*names).join(index, "_levels").withColumn(
         rank, F.col("_before") + F.row_number().over(inside) - 1)
     if rows is not None:
         ranked = ranked.withColumn(rows, F.col("_all"))
-    return ranked.drop("_rows", "_before", "_all", *names)
+    return ranked.drop("_before", "_all", "_levels")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
