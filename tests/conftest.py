@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ventis import schemas  # noqa: E402
-from ventis.session import build_session  # noqa: E402
+from ventis.session import build_session, drop_materialized  # noqa: E402
 from ventis.sources.star import Star  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -29,6 +29,13 @@ def spark():
     SESSION.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_tables_of_other_modules(spark):
+    """A module's intermediate tables go with it: those that results still read stay until then."""
+    yield
+    drop_materialized(spark)
+
+
 @pytest.fixture
 def one(spark):
     """Evaluate expressions of one text column ``x`` over values, in order."""
